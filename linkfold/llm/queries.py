@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, mixing, token_counts
+from . import bpe, line_dedup, mixing, token_counts
 
 QUERIES = {
+    "op2_line_dedup": line_dedup.op2,
     "op5_token_counts": token_counts.op5,
     "op7_byte_bpe": bpe.op7,
     "op8_mixing": mixing.op8,
 }
 
 ORACLE_SQL = {
+    "op2_line_dedup": line_dedup.OP2_SQL,
     "op8_mixing": mixing.OP8_SQL,
 }
