@@ -146,12 +146,15 @@ def chunks(offsets: np.ndarray, limit: int = _CHUNK):
         lo = min(hi, n)
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word of rows given by offsets into data, and the index of the first word of each row (and the end)."""
+def words(data: np.ndarray, offsets: np.ndarray, letters: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word of rows given by offsets into data, and the index of the first word of each row (and the end).
+
+    letters tells which bytes words are made of; all but white space if it is None.
+    """
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    solid = ~_spaces()[data]
+    solid = letters[data] if letters is not None else ~_spaces()[data]
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
     starts = np.flatnonzero(solid & np.concatenate(([True], ~solid[:-1] | first[1:-1])))

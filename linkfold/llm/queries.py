@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, line_dedup, mixing, token_counts
+from . import bpe, line_dedup, mixing, token_counts, toxicity
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2,
+    "op3_toxicity": toxicity.op3,
     "op5_token_counts": token_counts.op5,
     "op7_byte_bpe": bpe.op7,
     "op8_mixing": mixing.op8,
