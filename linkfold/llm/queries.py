@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, line_dedup, mixing, token_counts, toxicity
+from . import bpe, line_dedup, mixing, substring_dedup, token_counts, toxicity
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2,
     "op3_toxicity": toxicity.op3,
+    "op4_substring_dedup": substring_dedup.op4,
     "op5_token_counts": token_counts.op5,
     "op7_byte_bpe": bpe.op7,
     "op8_mixing": mixing.op8,
