@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, line_dedup, mixing, substring_dedup, token_counts, toxicity
+from . import bpe, line_dedup, mixing, substring_dedup, suffix_dedup, token_counts, toxicity
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_token_counts": token_counts.op5,
     "op7_byte_bpe": bpe.op7,
     "op8_mixing": mixing.op8,
+    "op10_suffix_array_dedup": suffix_dedup.op10,
 }
 
 ORACLE_SQL = {
