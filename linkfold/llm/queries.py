@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, line_dedup, mixing, substring_dedup, suffix_dedup, token_counts, toxicity
+from . import bpe, line_dedup, minhash_dedup, mixing, substring_dedup, suffix_dedup, token_counts, toxicity
 
 QUERIES = {
+    "op1_minhash_dedup": minhash_dedup.op1,
     "op2_line_dedup": line_dedup.op2,
     "op3_toxicity": toxicity.op3,
     "op4_substring_dedup": substring_dedup.op4,
