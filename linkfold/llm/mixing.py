@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: Weights of the sources in code point order, repeating; null comes last.
 WEIGHTS = (5.0, 2.0, 1.0)
 #: What the mix takes of all words, and the most that it takes of one source, as multiples.
@@ -14,10 +16,10 @@ STEPS, SALTS = 8, 16
 
 
 def word_count(text: str = "text") -> Column:
-    """Number of words of a text; 0 for null. Word starts are what is left when all else is cut."""
-    spaces = "\t\n\x0b\f\r"
-    plain = F.translate(F.coalesce(F.col(text), F.lit("")), spaces, " " * len(spaces))
-    return F.when(F.trim(plain) == "", F.lit(0)).otherwise(F.size(F.split(F.trim(plain), " +"))).cast("long")
+    """Number of words of a text; 0 for null. One word more is put at its end, so that every space stands before a word;
+    then every word becomes one letter, with the space before it."""
+    whole = F.concat(F.coalesce(F.col(text), F.lit("")), F.lit(" x"))
+    return (F.octet_length(F.regexp_replace(whole, r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+", "x")) - 1).cast("long")
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -45,7 +47,7 @@ def offset(seed: int) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / float(1 << 32)
 
 
-def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 8) -> DataFrame:
+def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 8, size: str | None = None) -> DataFrame:
     """Add size, source_size, target, copies and taken to docs.
 
     All documents of a source are expected equally often: r = target / source_size. Numbered within their source they
@@ -53,14 +55,14 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float =
     random offset of the source. So each has floor(r) or ceil(r) copies, and `most` at most. The numbering goes by size,
     in strata of similar size, so that the words taken come near the target, not the copies alone. No task holds a
     source: strata are numbered alone (in SALTS parts by doc_id) and then moved by the rows before them, which their
-    counts tell.
+    counts tell. size names a column that holds the numbers of words, if they have been counted.
 
     A null text has size 0 and takes nothing. A null source is a source of its own, the last. A source without words has
     target 0. Repeated rows are numbered each, in an order that does not matter. A null doc_id counts as 0 in the
     numbering. Columns of the same names as the new ones are replaced; an empty table gives an empty table.
     """
     new = ["size", "source_size", "target", "copies", "taken"]
-    d = docs.drop(*new).withColumn("size", word_count())
+    d = docs.withColumn("size", F.col(size) if size else word_count()).drop(*new[1:])
     d = d.withColumn("_stratum", F.floor(F.log2(F.col("size") + 1.0) * STEPS).cast("int"))
     d = d.withColumn("_salt", F.pmod(F.coalesce(F.col("doc_id"), F.lit(0)), F.lit(SALTS)).cast("int"))
     cells = d.groupBy("source", "_stratum", "_salt").agg(F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_size"))
@@ -87,8 +89,8 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
-    return mixed(docs).select("doc_id", "size", "source_size", "target", "taken")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", word_count().alias("size"))
+    return mixed(written(docs, "sizes"), size="size").select("doc_id", "size", "source_size", "target", "taken")
 
 
 #: DuckDB SQL for op8; the same numbering, written plainly.
