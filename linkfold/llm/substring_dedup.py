@@ -108,11 +108,11 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, batches:
     keyed = windows.keyed(docs)
     index = FingerprintIndex(docs.sparkSession, width=width, gram=gram)
     for k in range(batches):
-        index.add(keyed.filter(F.pmod(F.xxhash64("key", "doc_id"), F.lit(batches)) == k))
+        index.add(keyed.filter(F.pmod(F.xxhash64("key", "o"), F.lit(batches)) == k))
     found = index.repeated()
     index.drop()
-    whole, candidates = windows.judged(found)
-    some = windows.by_window(candidates, keyed, "words", width)
+    whole, candidates = windows.judged_stretches(found)
+    some = windows.by_window(candidates, keyed, "words", width, gram)
     out = windows.without(keyed, whole.unionByName(some), "words", width, texts)
     return out.withColumnRenamed("n_tokens", "n_words").drop("n_spans")
 

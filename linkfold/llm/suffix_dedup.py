@@ -121,14 +121,14 @@ def group_windows(lefts: list[bytes], shares: list[int], bounds: list[tuple[int,
 
 
 def by_pairs(candidates: DataFrame, docs: DataFrame, width: int, gram: int) -> DataFrame:
-    """The windows (doc_id, key, first, last) of candidates with n = 1 that stand at another candidate too.
+    """The windows (o, key, first, last) of candidates with n = 1 that stand at another candidate too.
 
     Each task sorts the suffixes that start at the anchors of its documents into runs and front-codes them; the runs are
     dealt out by gram, so suffixes that share their first `gram` bytes meet; each receiver merges its runs.
     """
     deals = max(common.parts(docs.sparkSession), -(-candidates.count() // MERGE))
-    located = windows.with_text(candidates, docs.dropDuplicates(["doc_id", "key"]), ["first", "last", "anchor", "gram", "n"])
-    ids = [docs.schema["doc_id"], docs.schema["key"]]
+    located = windows.with_text(candidates, docs, ["first", "last", "anchor", "gram", "n"])
+    ids = [T.StructField("o", T.LongType()), T.StructField("key", T.LongType())]
     schema = T.StructType([T.StructField("deal", T.IntegerType()), T.StructField("run", T.LongType()), T.StructField("place", T.IntegerType()), T.StructField("shared", T.IntegerType()), T.StructField("rest", T.BinaryType()), T.StructField("left", T.BinaryType()), *ids, *[T.StructField(c, T.IntegerType()) for c in ("first", "last", "anchor")], T.StructField("only", T.BooleanType())])
 
     def runs(batches):
@@ -161,10 +161,10 @@ def by_pairs(candidates: DataFrame, docs: DataFrame, width: int, gram: int) -> D
             return pa.RecordBatch.from_arrays([pa.array(c, arrow.get(f.dataType.simpleString())) for c, f in zip(columns, schema, strict=True)], names=schema.names)
 
         for batch in batches:
-            for text, found, doc_id, key in zip(batch.column("text").cast(pa.binary()), batch.column("found"), batch.column("doc_id"), batch.column("key"), strict=True):
-                raw, doc_id, key = text.as_py(), doc_id.as_py(), key.as_py()
+            for text, found, o, key in zip(batch.column("text").cast(pa.binary()), batch.column("found"), batch.column("o"), batch.column("key"), strict=True):
+                raw, o, key = text.as_py(), o.as_py(), key.as_py()
                 for s in found.as_py():
-                    held.append((s["gram"] % deals, raw[s["anchor"] : s["last"] + width], raw[s["first"] : s["anchor"]][::-1], doc_id, key, s["first"], s["last"], s["anchor"], s["n"] == 1))
+                    held.append((s["gram"] % deals, raw[s["anchor"] : s["last"] + width], raw[s["first"] : s["anchor"]][::-1], o, key, s["first"], s["last"], s["anchor"], s["n"] == 1))
                     if len(held) >= RUN:
                         yield flush()
         if held:
@@ -207,7 +207,7 @@ def by_pairs(candidates: DataFrame, docs: DataFrame, width: int, gram: int) -> D
             shares.append(share)
         close()
         take = pa.array(places, pa.int64())
-        return pa.Table.from_arrays([table.column("doc_id").take(take), table.column("key").take(take), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=out.names)
+        return pa.Table.from_arrays([table.column("o").take(take), table.column("key").take(take), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=out.names)
 
     dealt = common.written(located.mapInArrow(runs, schema), "suffix-runs")
     return dealt.groupBy("deal").applyInArrow(merged, out)
@@ -227,10 +227,9 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, texts: b
     """
     keyed = windows.keyed(docs)
     found = common.written(windows.repeated(windows.all_stretches(keyed, "bytes", width, gram)), "repeated")
-    whole, candidates = windows.judged(found)
-    candidates = common.written(candidates, "candidates")
+    whole, candidates = windows.judged_stretches(found)
     few = by_pairs(candidates.filter(F.col("kinds") <= PAIRS), keyed, width, gram)
-    many = windows.by_window(candidates.filter(F.col("kinds") > PAIRS), keyed, "bytes", width)
+    many = windows.by_window(candidates.filter(F.col("kinds") > PAIRS), keyed, "bytes", width, gram)
     out = windows.without(keyed, whole.unionByName(few).unionByName(many), "bytes", width, texts)
     return out.withColumnRenamed("n_tokens", "n_bytes")
 

@@ -9,8 +9,10 @@ about two for each `width - gram` tokens.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,13 +95,18 @@ _STRETCH = [T.StructField("first", T.IntegerType()), T.StructField("last", T.Int
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, key and text. Rows with equal doc_id and text are alike in every answer, so both together name a row."""
-    return docs.select("doc_id", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("key"), "text")
+    """doc_id, o, key and text. o (doc_id, or a number in place of null) and key (a hash of doc_id and text) name a row; rows
+    with equal doc_id and text are alike in every answer, so they may share a name. doc_id must be a whole number."""
+    o = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    return docs.select("doc_id", o.alias("o"), F.coalesce(F.xxhash64("doc_id", "text"), F.lit(0)).alias("key"), "text")
+
+
+_NAME = [T.StructField("o", T.LongType()), T.StructField("key", T.LongType())]
 
 
 def all_stretches(docs: DataFrame, kind: str, width: int, gram: int) -> DataFrame:
-    """A row (doc_id, key, first, last, anchor, gram, whole) for each stretch of keyed documents."""
-    schema = T.StructType([docs.schema["doc_id"], docs.schema["key"], *_STRETCH])
+    """A row (o, key, first, last, anchor, gram, whole) for each stretch of keyed documents."""
+    schema = T.StructType([*_NAME, *_STRETCH])
 
     def run(batches):
         import pyarrow as pa
@@ -110,27 +117,32 @@ def all_stretches(docs: DataFrame, kind: str, width: int, gram: int) -> DataFram
                 values, at = TOKENS[kind](data, offsets[lo : hi + 1])
                 for row, first, last, anchor, gr, whole in stretches(values, at, width, gram):
                     take = pa.array(row + lo)
-                    out = [batch.column("doc_id").take(take), batch.column("key").take(take)]
+                    out = [batch.column("o").take(take), batch.column("key").take(take)]
                     out += [pa.array(x.astype(np.int32)) for x in (first, last, anchor)] + [pa.array(x.view(np.int64)) for x in (gr, whole)]
                     yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.select("o", "key", "text").mapInArrow(run, schema)
 
 
-def judged(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of stretches whose gram stands at more than one place: those whole repeated, and those to be compared by window.
+def judged(found: DataFrame, kept: list[str], weight: Column) -> tuple[DataFrame, DataFrame]:
+    """Of rows (o, key, first, last, gram, whole, ...): those repeated as a whole, and those to be looked into.
 
-    Stretches that are equal as a whole, twice or more, are repeated in all their windows. One of each kind of them, and all
-    others, are candidates where their gram has two kinds or more. Both come as (doc_id, key, first, last, anchor, gram, n,
-    kinds); n is the number of stretches like it, so only n = 1 needs the answer, and kinds tells how many there are.
+    Rows of one gram and whole are equal; twice or more, all their windows are repeated. One of each such kind, and all other
+    rows, are candidates where their gram has two kinds or more. Candidates come as (kept..., gram, n, kinds): n is the
+    weight of the rows like it, so only those with n = 1 need an answer, and kinds tells how many the gram has.
     """
-    kinds = found.groupBy("gram", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "key", "first", "last", "anchor")).alias("one"))
+    kinds = found.groupBy("gram", "whole").agg(F.sum(weight).alias("n"), F.min(F.struct(*kept)).alias("one"))
     kinds = common.written(kinds, "kinds")
-    whole = found.join(kinds.filter("n > 1").select("gram", "whole"), ["gram", "whole"], "left_semi").select("doc_id", "key", "first", "last")
+    whole = found.join(kinds.filter("n > 1").select("gram", "whole"), ["gram", "whole"], "left_semi").select("o", "key", "first", "last")
     mixed = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
     return whole, kinds.join(mixed, "gram").select("one.*", "gram", "n", "kinds")
 
 
+def judged_stretches(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    whole, candidates = judged(found, ["o", "key", "first", "last", "anchor"], F.lit(1))
+    return whole, common.written(candidates, "candidates")
+
+
 def repeated(stretches: DataFrame) -> DataFrame:
     """The stretches whose gram stands at more than one place."""
     more = stretches.groupBy("gram").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("gram")
@@ -138,45 +150,70 @@ def repeated(stretches: DataFrame) -> DataFrame:
 
 
 def with_text(rows: DataFrame, docs: DataFrame, columns: list[str]) -> DataFrame:
-    """docs that have rows, with `columns` of these as a list."""
-    lists = rows.groupBy(F.col("doc_id").alias("_d"), F.col("key").alias("_k")).agg(F.collect_list(F.struct(*columns)).alias("found"))
-    return docs.join(lists, docs.doc_id.eqNullSafe(lists._d) & (docs.key == lists._k)).drop("_d", "_k")
+    """(o, key, text, found) of docs that have rows, found being a list of their `columns`.
+
+    Documents that share a name all come; what is found of them more than once was repeated before.
+    """
+    lists = rows.groupBy("o", "key").agg(F.collect_list(F.struct(*columns)).alias("found"))
+    return docs.select("o", "key", "text").join(lists, ["o", "key"])
 
 
-def by_window(candidates: DataFrame, docs: DataFrame, kind: str, width: int) -> DataFrame:
-    """The windows (doc_id, key, first, last) of candidates with n = 1 that stand at another candidate too."""
-    located = with_text(candidates, docs.dropDuplicates(["doc_id", "key"]), ["first", "last", "gram", "n"])
-    schema = T.StructType([docs.schema["doc_id"], docs.schema["key"], T.StructField("at", T.IntegerType()), T.StructField("gram", T.LongType()), T.StructField("window", T.LongType()), T.StructField("n", T.LongType())])
+def by_window(candidates: DataFrame, docs: DataFrame, kind: str, width: int, gram: int) -> DataFrame:
+    """The windows (o, key, first, last) of candidates with n = 1 that stand at another candidate too.
+
+    The windows of a stretch are dealt into blocks by their distance from the anchor, so equal windows are in blocks of one
+    number. What all windows of a block have in common is its core; a block whose core stands at no other stretch has no
+    repeated window, and one that is repeated as a whole has no other. Windows are compared in the blocks between: the few
+    at which two places begin or cease to be equal.
+    """
+    step = max(2, math.isqrt(width - gram + 1))
+    located = with_text(candidates, docs, ["first", "last", "anchor", "gram", "n"])
+    schema = T.StructType([*_NAME, *_STRETCH[:2], *_STRETCH[3:], T.StructField("n", T.LongType()), T.StructField("windows", T.ArrayType(T.LongType()))])
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
             data, offsets = common.text_buffers(batch.column("text"))
-            for i, stretch in enumerate(batch.column("found").to_pylist()):
+            for i, found in enumerate(batch.column("found").to_pylist()):
                 values, _ = TOKENS[kind](data, offsets[i : i + 2])
-                col = {k: np.array([s[k] for s in stretch], np.int64) for k in ("first", "last", "gram", "n")}
-                of, at, h = window_hashes(values, col["first"], col["last"], width)
-                take = pa.array(np.full(len(at), i))
-                out = [batch.column("doc_id").take(take), batch.column("key").take(take), pa.array(at.astype(np.int32)), pa.array(col["gram"][of]), pa.array(h.view(np.int64)), pa.array(col["n"][of])]
+                col = {k: np.array([x[k] for x in found], np.int64) for k in ("first", "last", "anchor", "gram", "n")}
+                # blocks number far // step to near // step of each stretch
+                near, far = (col["anchor"] - col["last"]) // step, (col["anchor"] - col["first"]) // step
+                many = far - near + 1
+                of = np.repeat(np.arange(len(many)), many)
+                block = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + near[of]
+                anchor = col["anchor"][of]
+                first, last = np.maximum(col["first"][of], anchor - block * step - step + 1), np.minimum(col["last"][of], anchor - block * step)
+                sums = common.prefix_sums(values)
+                core = common.span_hash(sums, anchor - block * step, anchor - block * step - step + 1 + width)
+                group = common.mix(col["gram"][of].view(np.uint64) ^ common.mix(core + block.astype(np.uint64)))
+                whole = common.mix(common.span_hash(sums, first, last + width) ^ common.mix((anchor - last).astype(np.uint64)))
+                size = last - first + 1
+                w, at, h = window_hashes(values, first, last, width)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32)), pa.array(h.view(np.int64)))
+                take = pa.array(np.full(len(of), i))
+                out = [batch.column("o").take(take), batch.column("key").take(take), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), pa.array(group.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(col["n"][of]), lists]
                 yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
-    windows = common.written(located.mapInArrow(run, schema), "windows")
+    blocks = common.written(located.mapInArrow(run, schema), "blocks")
+    whole, mixed = judged(blocks, ["o", "key", "first", "windows"], F.col("n"))
+    windows = mixed.select("o", "key", "first", "gram", "n", F.posexplode("windows").alias("i", "window"))
     same = windows.groupBy("gram", "window").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("gram", "window")
-    hit = windows.filter("n = 1").join(same, ["gram", "window"], "left_semi")
-    return hit.select("doc_id", "key", F.col("at").alias("first"), F.col("at").alias("last"))
+    hit = windows.filter("n = 1").join(same, ["gram", "window"], "left_semi").withColumn("at", F.col("first") + F.col("i"))
+    return whole.unionByName(hit.select("o", "key", F.col("at").alias("first"), F.col("at").alias("last")))
 
 
 def without(docs: DataFrame, ranges: DataFrame, kind: str, width: int, texts: bool) -> DataFrame:
-    """docs less every token that a window of ranges(doc_id, key, first, last) covers.
+    """docs less every token that a window of ranges(o, key, first, last) covers.
 
     Adds n_tokens, n_removed, n_spans (runs of removed tokens), kept_sha256 and, with texts, kept (words joined by one space,
     or bytes).
     """
     import pyarrow as pa
 
-    lists = ranges.groupBy(F.col("doc_id").alias("_d"), F.col("key").alias("_k")).agg(F.collect_list("first").alias("_first"), F.collect_list("last").alias("_last"))
-    d = docs.join(lists, docs.doc_id.eqNullSafe(lists._d) & (docs.key == lists._k), "left").select("doc_id", "text", "_first", "_last")
+    lists = ranges.groupBy("o", "key").agg(F.collect_list("first").alias("_first"), F.collect_list("last").alias("_last"))
+    d = docs.join(lists, ["o", "key"], "left").select("doc_id", "text", "_first", "_last")
     schema = T.StructType([docs.schema["doc_id"], *[T.StructField(c, T.LongType()) for c in ("n_tokens", "n_removed", "n_spans")], T.StructField("kept_sha256", T.StringType()), *([T.StructField("kept", T.BinaryType())] if texts else [])])
 
     def run(batches):
