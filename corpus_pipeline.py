@@ -43,7 +43,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The columns of documents but the text, with the token ids and digests of ids and decoded bytes."""
     ship(spark)
-    return bpe.bpe(docs).drop("decoded")
+    return bpe.bpe(docs, decoded=False)
 
 
 STAGES = [("toxicity", clean), ("line_dedup", lines), ("minhash_dedup", near_copies), ("mixing", mix), ("byte_bpe", tokens)]

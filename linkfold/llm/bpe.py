@@ -5,13 +5,18 @@ from __future__ import annotations
 import base64
 import functools
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from . import common
+
 #: The vocabulary used where none is named.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Texts up to so many characters are leaves of the tree.
 LEAF = 1 << 14
+#: Bytes of text, about, whose tokens are held together.
+HELD = 1 << 22
 #: First width, in characters, of the window that is encoded again on either side of a join.
 WINDOW = 32
 
@@ -107,44 +112,55 @@ def codec(path: str | None = None, pattern: str | None = None, leaf: int = LEAF,
     return Codec(path, pattern, leaf, window)
 
 
-def bpe(docs: DataFrame, path: str | None = None, pattern: str | None = None, leaf: int = LEAF, window: int = WINDOW, ids: bool = True) -> DataFrame:
-    """Encode docs.text; adds n_tokens, ids_sha256, decoded_sha256 and, with ids, the token ids and decoded bytes themselves.
+def bpe(docs: DataFrame, path: str | None = None, pattern: str | None = None, leaf: int = LEAF, window: int = WINDOW, ids: bool = True, decoded: bool = True) -> DataFrame:
+    """Encode docs.text; adds n_tokens, ids_sha256, decoded_sha256 and, with ids and decoded, the token ids and the decoded
+    bytes themselves.
 
     Columns besides text stay as they are (of the same name as a new one: the new one replaces it). A null text counts as
     empty: no tokens, digests of the empty string. Repeated rows are encoded each. An empty table gives an empty table.
     The path of the vocabulary must be readable on every executor.
     """
     new = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
-    new += [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())] if ids else []
+    new += [T.StructField("ids", T.ArrayType(T.IntegerType()))] * ids + [T.StructField("decoded", T.BinaryType())] * decoded
     names = [f.name for f in new]
     kept = [f for f in docs.schema.fields if f.name not in names and f.name != "text"]
     schema = T.StructType(kept + new)
 
-    def run(batches):
+    def encoded(batch):
         import hashlib
 
         import pyarrow as pa
 
         c = codec(path, pattern, leaf, window)
         name = c.names.__getitem__
+        counts, a, b, all_ids, all_bytes = [], [], [], [np.zeros(0, np.int32)], []
+        for text in batch.column("text"):
+            tokens = c.encode(text.as_py() or "")
+            counts.append(len(tokens))
+            a.append(hashlib.sha256(",".join(map(name, tokens)).encode()).hexdigest())
+            raw = c.decode(tokens)
+            b.append(hashlib.sha256(raw).hexdigest())
+            if ids:
+                all_ids.append(np.array(tokens, np.int32))
+            if decoded:
+                all_bytes.append(raw)
+        out = [batch.column(f.name) for f in kept] + [pa.array(counts, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
+        if ids:
+            ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+            out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(all_ids))))
+        if decoded:
+            out.append(pa.array(all_bytes, pa.binary()))
+        return pa.RecordBatch.from_arrays(out, names=schema.names)
+
+    def run(batches):
         for batch in batches:
-            counts, a, b, all_ids, all_bytes = [], [], [], [], []
-            for text in batch.column("text"):
-                tokens = c.encode(text.as_py() or "")
-                counts.append(len(tokens))
-                a.append(hashlib.sha256(",".join(map(name, tokens)).encode()).hexdigest())
-                raw = c.decode(tokens)
-                b.append(hashlib.sha256(raw).hexdigest())
-                if ids:
-                    all_ids.append(tokens)
-                    all_bytes.append(raw)
-            out = [batch.column(f.name) for f in kept] + [pa.array(counts, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
-            out += [pa.array(all_ids, pa.list_(pa.int32())), pa.array(all_bytes, pa.binary())] if ids else []
-            yield pa.RecordBatch.from_arrays(out, names=schema.names)
+            # in slices: tokens take several times the memory of their text
+            for lo, hi in common.chunks(common.text_buffers(batch.column("text"))[1], HELD):
+                yield encoded(batch.slice(lo, hi - lo))
 
     return docs.select(*[f.name for f in kept], "text").mapInArrow(run, schema)
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return bpe(docs, ids=False)
+    return bpe(docs, ids=False, decoded=False)
