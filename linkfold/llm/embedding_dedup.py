@@ -18,7 +18,7 @@ from .vectors import finite, packed
 BLOCKS, PACK = 4, 2048
 #: What distances may be off by rounding.
 MARGIN = 1e-6
-LINKS = "a struct<o:bigint,h:bigint>, b struct<o:bigint,h:bigint>"
+FOUND = "a struct<o:bigint,h:bigint>, b struct<o:bigint,h:bigint>, others long"
 
 
 def rotation(vectors: DataFrame, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -61,7 +61,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, blocks: int = BLOCK
     deals vectors into cells of the subspace's first axis as wide as the root of its budget, cells into packs of bounded
     size, and joins packs of the same and of neighbouring cells. Within a pair of packs, distances in the subspace leave
     the candidates; a candidate that an earlier subspace finds too is its, and the rest are verified by the exact cosine at
-    once, so no candidate is ever moved.
+    once, so no candidate is ever moved. Links are not moved either: a pair of packs gives, for each of its vectors that has
+    links in it, their number and one link to the least vector of its component in that pair. So what it gives grows with
+    the vectors, however many of them are near copies of each other.
     """
     spark = vectors.sparkSession
     rows = vectors.select("vec_id", F.when(finite("v") & F.exists("v", lambda x: x != 0), F.col("v")).alias("v"))
@@ -70,17 +72,16 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, blocks: int = BLOCK
     # rows of one vec_id can have unequal vectors, so the vector's hash is part of the node's name
     nodes = nodes.select("v", F.struct(F.col("node").alias("o"), F.xxhash64("v").alias("h")).alias("node"), "n", F.size("v").alias("dim"))
     nodes = common.written(nodes, "nodes")
-    links = None
+    found = None
     for (dim,) in nodes.select("dim").distinct().collect():
-        part = _links(nodes.filter(F.col("dim") == dim).select("node.o", "node.h", "v"), dim, cosine, min(blocks, dim), pack)
-        links = part if links is None else links.unionByName(part)
-    if links is None:
-        links = spark.createDataFrame([], LINKS)
-    links = common.written(links, "vector-links")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = both.join(nodes.select(F.col("node").alias("b"), F.col("n").alias("_n")), "b").groupBy("a").agg(F.sum("_n").alias("_others"))
-    whole = components(links)
-    told = nodes.select("v", "node", "n").join(others.withColumnRenamed("a", "node"), "node", "left").join(whole, "node", "left")
+        part = _links(nodes.filter(F.col("dim") == dim).select("node.o", "node.h", "n", "v"), dim, cosine, min(blocks, dim), pack)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = spark.createDataFrame([], FOUND)
+    found = common.written(found, "vector-links")
+    others = found.groupBy(F.col("a").alias("node")).agg(F.sum("others").alias("_others"))
+    whole = components(found.filter("b is not null").select("a", "b"))
+    told = nodes.select("v", "node", "n").join(others, "node", "left").join(whole, "node", "left")
     told = told.select(F.col("v").alias("_v"), (F.col("n") - 1 + F.coalesce("_others", F.lit(0))).alias("_links"), F.coalesce("component", "node")["o"].alias("_component"))
     out = rows.join(told, rows.v == told["_v"], "left")
     component = F.when(F.col("_component") == (1 << 63) - 1, None).otherwise(F.coalesce("_component", "vec_id"))
@@ -88,7 +89,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, blocks: int = BLOCK
 
 
 def _links(nodes: DataFrame, dim: int, cosine: float, blocks: int, pack: int) -> DataFrame:
-    """(a, b) of nodes(o, h, v) of one length, both structs (o, h)."""
+    """(a, b, others) of nodes(o, h, n, v) of one length: others of the n rows of other nodes are linked with a; a and b are
+    structs (o, h), and all b (null if there is none) connect what links connect."""
     axes, variances = rotation(nodes, dim)
     edges = [round(dim * b / blocks) for b in range(blocks + 1)]
     total = max(variances.sum(), 1e-12)
@@ -96,23 +98,23 @@ def _links(nodes: DataFrame, dim: int, cosine: float, blocks: int, pack: int) ->
     budget = (2 - 2 * cosine) * share / share.sum() + MARGIN
     width = np.sqrt(budget)
 
-    schema = T.StructType([nodes.schema["o"], nodes.schema["h"], nodes.schema["v"], T.StructField("block", T.IntegerType()), T.StructField("cell", T.IntegerType())])
+    schema = T.StructType([nodes.schema["o"], nodes.schema["h"], nodes.schema["n"], nodes.schema["v"], T.StructField("block", T.IntegerType()), T.StructField("cell", T.IntegerType())])
 
     def cells(batches):
         for batch in batches:
             x = _unit(batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)) @ axes[:, edges[:-1]]
             for b in range(blocks):
                 cell = np.floor(x[:, b] / width[b]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column("o"), batch.column("h"), batch.column("v"), pa.array(np.full(len(cell), b, np.int32)), pa.array(cell)], names=schema.names)
+                yield pa.RecordBatch.from_arrays([batch.column("o"), batch.column("h"), batch.column("n"), batch.column("v"), pa.array(np.full(len(cell), b, np.int32)), pa.array(cell)], names=schema.names)
 
     dealt = nodes.mapInArrow(cells, schema)
     # a cell for each width between -1 and 1 and subspace: a few dozen rows, whatever the input
     counts = {(r["block"], r["cell"]): r["count"] for r in dealt.groupBy("block", "cell").count().collect()}
     if not counts:
-        return nodes.sparkSession.createDataFrame([], LINKS)
+        return nodes.sparkSession.createDataFrame([], FOUND)
     many = F.create_map(*[z for (b, c), n in counts.items() for z in (F.lit(f"{b}/{c}"), F.lit(math.ceil(n / pack)))])[F.concat_ws("/", "block", "cell")]
     dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("o", "h"), many).cast("int"))
-    packs = common.written(packed(dealt, ["block", "cell", "chunk"], ["o", "h"], "<f8" if "double" in nodes.schema["v"].dataType.simpleString() else "<f4"), "packs")
+    packs = common.written(packed(dealt, ["block", "cell", "chunk"], ["o", "h", "n"], "<f8" if "double" in nodes.schema["v"].dataType.simpleString() else "<f4"), "packs")
     right = packs.select("block", F.explode(F.array("cell", F.col("cell") - 1)).alias("at"), F.col("cell").alias("cell2"), F.col("chunk").alias("chunk2"), F.col("ids").alias("ids2"), F.col("data").alias("data2"))
     pairs = packs.withColumnRenamed("cell", "at").join(right, ["block", "at"]).filter((F.col("cell2") > F.col("at")) | (F.col("chunk2") >= F.col("chunk")))
     kind = "<f8" if "double" in nodes.schema["v"].dataType.simpleString() else "<f4"
@@ -120,7 +122,7 @@ def _links(nodes: DataFrame, dim: int, cosine: float, blocks: int, pack: int) ->
     def verify(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, ids2 = (np.frombuffer(batch.column(c)[row].as_buffer(), np.int64).reshape(-1, 2) for c in ("ids", "ids2"))
+                ids, ids2 = (np.frombuffer(batch.column(c)[row].as_buffer(), np.int64).reshape(-1, 3) for c in ("ids", "ids2"))
                 x, y = (_unit(np.frombuffer(batch.column(c)[row].as_buffer(), kind).reshape(-1, dim)) for c in ("data", "data2"))
                 same = batch.column("cell2")[row].as_py() == batch.column("at")[row].as_py() and batch.column("chunk2")[row].as_py() == batch.column("chunk")[row].as_py()
                 block = batch.column("block")[row].as_py()
@@ -136,11 +138,27 @@ def _links(nodes: DataFrame, dim: int, cosine: float, blocks: int, pack: int) ->
                 own = by[:, block] & ~by[:, :block].any(1)
                 p, q = p[own], q[own]
                 good = np.einsum("ij,ij->i", x[p], y[q]) >= cosine
-                a, b = ids[p[good]], ids2[q[good]]
-                a, b = (pa.StructArray.from_arrays([pa.array(z[:, 0]), pa.array(z[:, 1])], names=["o", "h"]) for z in (a, b))
-                yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
-
-    return pairs.select("block", "at", "cell2", "chunk", "chunk2", "ids", "data", "ids2", "data2").mapInArrow(verify, LINKS)
+                yield _summed(ids, ids2, p[good], q[good], same)
+
+    return pairs.select("block", "at", "cell2", "chunk", "chunk2", "ids", "data", "ids2", "data2").mapInArrow(verify, FOUND)
+
+
+def _summed(ids: np.ndarray, ids2: np.ndarray, p: np.ndarray, q: np.ndarray, same: bool) -> pa.RecordBatch:
+    """What a pair of packs gives, from its links p-q: a row for each vector that has any."""
+    every = ids if same else np.concatenate((ids, ids2))
+    u, w = np.concatenate((p, q if same else q + len(ids))), np.concatenate((q if same else q + len(ids), p))
+    others = np.bincount(u, every[w, 2], len(every)).astype(np.int64) if len(u) else np.zeros(len(every), np.int64)
+    label = np.arange(len(every))
+    while len(u):
+        new = label.copy()
+        np.minimum.at(new, u, label[w])
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    at = np.flatnonzero(others)
+    node = lambda i, mask=None: pa.StructArray.from_arrays([pa.array(every[i, 0]), pa.array(every[i, 1])], names=["o", "h"], mask=mask)
+    return pa.RecordBatch.from_arrays([node(at), node(label[at], pa.array(label[at] == at)), pa.array(others[at])], names=["a", "b", "others"])
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
