@@ -11,9 +11,11 @@ from . import common
 from .components import components
 
 #: Values of a sketch, and how many of the least of them are posted in inverted lists.
-SKETCH, POSTED = 64, 24
+SKETCH, POSTED = 64, 48
+#: Values that follow each other in a list's name; sets of up to SMALL values are posted by two as well.
+RUN, SMALL = 3, 8
 #: Lists that are tried first, and rounds of tests against one hub a list.
-FIRST, ROUNDS = 6, 3
+FIRST, ROUNDS = 8, 3
 #: How far below the asked similarity an estimate may be: five standard deviations and more of one from SKETCH values.
 SLACK = 0.3
 
@@ -63,8 +65,9 @@ def signatures(docs: DataFrame, size: int, sketch: int = SKETCH) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, size: int) -> DataFrame:
-    """node and its whole set, for rows (node, text)."""
-    schema = T.StructType([docs.schema["node"], T.StructField("all", T.ArrayType(T.LongType()))])
+    """all, the whole set, beside the other columns of rows with a text."""
+    kept = [f for f in docs.schema.fields if f.name != "text"]
+    schema = T.StructType([*kept, T.StructField("all", T.ArrayType(T.LongType()))])
 
     def run(batches):
         import pyarrow as pa
@@ -73,9 +76,9 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
             data, offsets = common.text_buffers(batch.column("text"))
             for lo, hi, row, h in shingles(data, offsets, size):
                 ends = np.searchsorted(row, np.arange(hi - lo + 1))
-                yield pa.RecordBatch.from_arrays([batch.column("node").slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(h))], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*[batch.column(f.name).slice(lo, hi - lo) for f in kept], pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(h))], names=schema.names)
 
-    return docs.select("node", "text").mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def estimate(a: str, b: str, sketch: int = SKETCH) -> Column:
@@ -94,14 +97,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, posted: i
     null doc_id is never the least but where there is no other. Other columns are dropped; an empty table gives one.
 
     One hash function gives every set its sketch, the least of its hashes in order. Equal sets are one node. The `posted`
-    least values are posted in inverted lists, each value under itself and the next, so a list holds the nodes in whose
-    sketches both follow each other. Two sets of similarity s fail to share a list with a probability below 1e-7 (for
-    s = 0.8 and 24 values: a run of 24 draws without two hits in a row), and never if they have no more values than that.
-
-    No list is expanded into its pairs. In a round every list tests its nodes against one hub, but those that are in the
-    hub's component already; what fits by size and by the estimate from both sketches is verified on the full sets. As
-    groups of near copies fall together in the first rounds, the last one can test all pairs of a list that are still in
-    different components: no link between components is lost.
+    least values are posted in inverted lists, each value under itself and the next two, so a list holds the nodes in whose
+    sketches all three follow each other (and few others: frequent values alone make no list). Two sets of similarity s fail
+    to share a list with a probability below 1e-7 (for s = 0.8 and 48 values: 48 draws without three hits in a row), and
+    never if they have no more values than that: then too few are missing to part all runs. That needs six values or more,
+    so small sets are posted by runs of two too.
+
+    In a round every list tests its nodes against one hub, but those that are in the hub's component already; what fits by
+    size and by the estimate from both sketches is verified on the full sets. The hub is the node that meets most others in
+    its lists, which in a group of near copies is the text that they were made from, or the one nearest to it (in the third
+    round, any). As groups fall together in the first rounds, the last one can test all pairs of a list that are still in
+    different components: no link between components is lost. That last round is what can still grow with the square of a
+    group, where many texts of it are just too far from all hubs.
     """
     spark = docs.sparkSession
     rows = common.written(signatures(docs, size), "signatures")
@@ -109,16 +116,24 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, posted: i
     classes = rows.filter("n > 0").groupBy("h1", "h2").agg(o.alias("o"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     classes = common.written(classes.select(F.struct("o", "h1", "h2").alias("node"), "n", "sketch"), "classes")
     low = F.slice("sketch", 1, posted)
-    lists = F.when(F.size(low) > 1, F.transform(F.sequence(F.lit(1), F.size(low) - 1), lambda i: F.struct(i.alias("at"), F.xxhash64(F.element_at(low, i), F.element_at(low, i + 1)).alias("list"))))
-    posts = classes.select("node", "n", F.inline(F.coalesce(lists, F.array().cast("array<struct<at:int,list:bigint>>"))))
+
+    def runs(k: int, when: Column) -> Column:
+        """Lists of the runs of k values."""
+        names = F.transform(F.sequence(F.lit(1), F.size(low) - k + 1), lambda i: F.struct(i.alias("at"), F.xxhash64(F.lit(k), F.slice(low, i, k)).alias("list")))
+        return F.when(when & (F.size(low) >= k), names).otherwise(F.array().cast("array<struct<at:int,list:bigint>>"))
+
+    posts = classes.select("node", "n", F.inline(F.concat(runs(RUN, F.lit(True)), runs(2, F.col("n") <= SMALL))))
     shared = posts.groupBy("list").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("list")
-    posts = common.written(posts.join(shared, "list", "left_semi"), "posts")
+    posts = posts.join(shared, "list", "left_semi")
+    # how many meetings a node has in all its lists: a text that many others were made from has the most
+    sizes = posts.groupBy("list").agg(F.count(F.lit(1)).alias("_c"))
+    fame = posts.join(sizes, "list").groupBy("node").agg(F.sum("_c").alias("fame"))
+    posts = common.written(posts.join(fame, "node"), "posts")
     members = posts.select("node").distinct()
     # a node is known by its least row; its set is computed again there and told by both hashes
-    wanted = members.join(classes, "node").select("node", "sketch", "n")
-    found = signatures_and_text(docs.select("doc_id", "text"), size).join(wanted.select("node"), (F.col("o") == F.col("node.o")) & (F.col("h1") == F.col("node.h1")) & (F.col("h2") == F.col("node.h2"))).dropDuplicates(["o", "h1", "h2"])
-    sets = full_sets(found.select("node", "text"), size)
-    sets = common.written(sets.join(wanted, "node"), "sets")
+    wanted = members.join(classes, "node").select("node", "sketch", F.col("node.o").alias("o"), F.col("node.h1").alias("h1"), F.col("node.h2").alias("h2"))
+    found = signatures_and_text(docs.select("doc_id", "text"), size).join(wanted, ["o", "h1", "h2"]).dropDuplicates(["o", "h1", "h2"])
+    sets = common.written(full_sets(found.select("node", "sketch", "text"), size), "sets")
 
     links = None
     whole = None
@@ -130,7 +145,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, posted: i
             p = p.withColumn("component", F.col("node"))
         fits = (F.least("n", "_n") * 100 >= F.greatest("n", "_n") * percent) & (F.col("component") != F.col("_component"))
         if k < rounds:
-            hub = p.groupBy("list").agg(F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("r"), "node", "n", "component")).alias("hub"), F.count(F.lit(1)).alias("_c"), F.max("component").alias("_x"), F.min("component").alias("_y"))
+            hub = p.groupBy("list").agg(F.min(F.struct((F.xxhash64("node", F.lit(k)) if k == 2 else -F.col("fame")).alias("r"), "node", "n", "component")).alias("hub"), F.count(F.lit(1)).alias("_c"), F.max("component").alias("_x"), F.min("component").alias("_y"))
             other = hub.filter("_x != _y").select("list", F.col("hub.node").alias("_node"), F.col("hub.n").alias("_n"), F.col("hub.component").alias("_component"))
         else:
             several = p.groupBy("list").agg(F.min("component").alias("_x"), F.max("component").alias("_y")).filter("_x != _y").select("list")
