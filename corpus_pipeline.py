@@ -9,6 +9,9 @@ from linkfold import ship
 from linkfold.llm import bpe, line_dedup, minhash_dedup, mixing, toxicity
 from linkfold.llm.common import written
 
+#: Words from which on one or two lines are a run whose repeats go.
+WORDS = 4
+
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, learnt from the labels, does not reject."""
@@ -21,9 +24,9 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the runs of lines that stand earlier; a document of which nothing is left goes.
 
-    n_chars is counted again where lines went.
+    Repeats of one or two lines go too if they have WORDS words. n_chars is counted again where lines went.
     """
-    d = line_dedup.deduplicated(docs).filter("n_removed < n_lines or n_removed = 0")
+    d = line_dedup.deduplicated(docs, words=WORDS).filter("n_removed < n_lines or n_removed = 0")
     length = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return d.withColumn("n_chars", length).select(*docs.columns)
 

@@ -5,52 +5,77 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import SPACES, written
 
 #: Lines of the shortest run that counts, and characters of a line that counts as a run by itself.
 LINES, LONG = 3, 60
+#: Rows from which on a key is sent to the rows that have it, and not they to one place.
+MANY = 1 << 12
 
 
-def _windows(docs: DataFrame, lines: int, long: int) -> DataFrame:
-    """A row for each run to be judged: its document, first line, number of lines, fingerprint and hash.
+def _lines(docs: DataFrame, long: int, words: int | None) -> DataFrame:
+    """A row for each line: its document, number, two hashes, whether it is long, and its words up to `words`."""
+    d = docs.select("_doc", "_text", F.posexplode(F.split("text", "\n")).alias("at", "_line"))
+    n = F.lit(0)
+    if words is not None:
+        n = F.least(F.size(F.filter(F.split("_line", f"[{''.join(f'\\x{b:02x}' for b in SPACES)}]+"), lambda x: x != "")), F.lit(words))
+    hashes = F.xxhash64("_line").alias("h"), F.xxhash64(F.lit("second"), "_line").alias("g")
+    return d.select("_doc", "_text", "at", *hashes, (F.length("_line") >= long).alias("long"), n.alias("words"))
 
-    The fingerprint of `lines` consecutive lines is the least of their hashes; a long line is its own. Two equal runs have
-    equal fingerprints, so a run whose fingerprint stands nowhere else needs no further look.
-    """
-    d = docs.select("_doc", "_text", F.split("text", "\n").alias("_lines"))
-    d = d.select("_doc", "_text", F.transform("_lines", lambda x: F.xxhash64(x)).alias("_h"), F.transform("_lines", lambda x: F.length(x) >= long).alias("_long"))
-    runs = F.transform(
-        F.when(F.size("_h") >= lines, F.sequence(F.lit(1), F.size("_h") - lines + 1)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.struct((i - 1).alias("at"), F.lit(lines).alias("n"), F.array_min(F.slice("_h", i, lines)).alias("fingerprint"), F.xxhash64(F.slice("_h", i, lines)).alias("run")),
-    )
-    alone = F.filter(
-        F.transform("_h", lambda h, i: F.when(F.get("_long", i), F.struct(i.alias("at"), F.lit(1).alias("n"), h.alias("fingerprint"), F.xxhash64(F.lit(1), h).alias("run")))),
-        lambda x: x.isNotNull(),
-    )
-    return d.select("_doc", "_text", F.inline(F.concat(runs, alone)))
-
-
-def deduplicated(docs: DataFrame, lines: int = LINES, long: int = LONG) -> DataFrame:
+
+def _runs(lines: DataFrame, length: int, words: int | None) -> DataFrame:
+    """A row for each run to be judged of rows of _lines(): its document, first line, number of lines, and two hashes."""
+    docs = lines.groupBy("_doc", "_text").agg(F.array_sort(F.collect_set(F.struct("at", "h", "g", "long", "words"))).alias("_l"))
+
+    def of(n: int):
+        def run(i):
+            part = F.slice("_l", i, n)
+            whole = F.element_at(part, -1)["at"] == part[0]["at"] + n - 1
+            counts = F.lit(n == length)
+            if n == 1:
+                counts = counts | part[0]["long"]
+            if words is not None:
+                counts = counts | (F.aggregate(part["words"], F.lit(0), lambda a, x: a + x) >= words)
+            hashes = [F.xxhash64(F.lit(n), part[c]).alias(name) for c, name in (("h", "run"), ("g", "run2"))]
+            return F.when(whole & counts, F.struct(part[0]["at"].alias("at"), F.lit(n).alias("n"), *hashes))
+
+        found = F.when(F.size("_l") >= n, F.transform(F.sequence(F.lit(1), F.size("_l") - n + 1), run))
+        return F.filter(F.coalesce(found, F.array()), lambda x: x.isNotNull())
+
+    sizes = range(1, length + 1) if words is not None else sorted({1, length})
+    return docs.select("_doc", "_text", F.inline(F.concat(*[of(n) for n in sizes])))
+
+
+def _joined(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """rows joined with found(keys, _n, ...), where _n tells how many rows have these keys."""
+    many, few = found.filter(F.col("_n") > MANY), found.filter(F.col("_n") <= MANY)
+    rest = rows.join(F.broadcast(many.select(*keys)), keys, "left_anti").join(few, keys)
+    return rows.join(F.broadcast(many), keys).unionByName(rest)
+
+
+def deduplicated(docs: DataFrame, lines: int = LINES, long: int = LONG, words: int | None = None) -> DataFrame:
     """docs with text less the repeated runs, and n_lines and n_removed.
 
-    A run is `lines` consecutive lines, or one line of `long` characters or more. A run that also stands earlier (in a
-    document of a smaller doc_id, or further up in the same one) is deleted where it stands later; longer repeats go
-    whole, as the runs that they are made of. Where runs stand is judged on the input. Winnowing: runs are grouped by
-    fingerprint, those alone with theirs are dropped, and the others are extended to their full content, whose first
-    place is found by an aggregate. No pairs of places are made, so a line of a third of all documents is one group of
-    partial aggregates.
+    A run is `lines` consecutive lines, or one line of `long` characters or more. With `words`, fewer lines are a run as
+    well if they have that many words (parted by white space) or more together; with None (the rule of OP2_SQL), repeats
+    of one or two shorter lines stay. A run that also stands earlier (in a document of a smaller doc_id, or further up in
+    the same one) is deleted where it stands later; longer repeats go whole, as the runs that they are made of. Where runs
+    stand is judged on the input. Lines that stand nowhere else are dropped first, as no repeated run has one; what follows
+    each other of the rest is joined to runs, whose first place is found by an aggregate. No pairs of places are made, so
+    a line of a third of all documents is one group of partial aggregates.
 
-    A null text stays null, with 0 lines. An empty text is one empty line. A text whose lines all go becomes empty. Lines
-    are compared exactly. A null doc_id comes last. Rows of the same doc_id are one place for the order: the copies of a
-    run at the same line of them all stay or all go. Columns named like a new one are replaced; an empty table gives one.
+    A null text stays null, with 0 lines. An empty text is one empty line. A text whose lines all go becomes empty. Runs
+    are equal if two 64-bit hashes of different seeds are. A null doc_id comes last. Rows of the same doc_id are one place
+    for the order: the copies of a run at the same line of them all stay or all go. Columns named like a new one are
+    replaced; an empty table gives one.
     """
     kept = docs.drop("n_lines", "n_removed")
     keyed = kept.withColumn("_doc", F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1))).withColumn("_text", F.xxhash64("text"))
-    runs = written(_windows(keyed, lines, long), "line-runs")
-    repeated = runs.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("fingerprint")
-    near = runs.join(repeated, "fingerprint", "left_semi")
-    first = near.groupBy("run").agg(F.min(F.struct("_doc", "at")).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("run", "_first")
-    later = near.join(first, "run").filter(F.struct("_doc", "at") > F.col("_first"))
+    places = _lines(keyed.select("_doc", "_text", "text"), long, words)
+    repeated = written(places.groupBy("h").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "lines")
+    near = written(_runs(_joined(places, repeated, ["h"]), lines, words), "line-runs")
+    first = near.groupBy("run", "run2").agg(F.min(F.struct("_doc", "at")).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    later = _joined(near, written(first, "first-runs"), ["run", "run2"]).filter(F.struct("_doc", "at") > F.col("_first"))
     gone = later.select("_doc", "_text", "at", "n").distinct().groupBy(F.col("_doc").alias("_d"), F.col("_text").alias("_t"))
     gone = gone.agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("at", F.col("at") + F.col("n") - 1)))).alias("_gone"))
     out = keyed.join(gone, (F.col("_doc") == F.col("_d")) & (F.col("_text") == F.col("_t")), "left")

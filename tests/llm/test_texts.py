@@ -159,6 +159,39 @@ def test_line_dedup_of_rows_of_one_id(spark):
     assert [(r.doc_id, r.n_removed) for r in sorted(out)] == [(1, 0), (1, 0), (2, 5)]
 
 
+def test_line_dedup_of_runs_of_some_words(spark):
+    def plain(data, words):
+        first, gone = {}, set()
+        for i, t in data:
+            parts = t.split("\n")
+            for k in range(len(parts)):
+                for n in (1, 2, 3):
+                    run = tuple(parts[k : k + n])
+                    if len(run) == n and (n == 3 or (n == 1 and len(run[0]) >= 60) or sum(len(WORD.findall(x)) for x in run) >= words):
+                        if first.setdefault(run, (i, k)) != (i, k):
+                            gone |= {(i, j) for j in range(k, k + n)}
+        return {i: "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone) for i, t in data}
+
+    notice, footer = "All rights of this text are reserved here.", "Read more of it on our pages\nHome"
+    data = [(1, f"{notice}\none\n{footer}"), (2, f"two\n{footer}\nlast"), (3, f"x\n{notice}\ny\nHome"), (4, "Home\nx\n\n")]
+    out = rows(line_dedup.deduplicated(spark.createDataFrame(data, "doc_id long, text string"), words=4))
+    assert [out[i].text for i in (2, 3, 4)] == ["two\nlast", "x\ny\nHome", "Home\nx\n\n"]
+    r = random.Random(10)
+    pool = ["", " ", "a", "b c", "d\te  f", " g h i j ", "k\x0bl m\rn o", "L" * 60, *(f"only {i}" for i in range(40))]
+    data += [(i, "\n".join(r.choice(pool) for _ in range(r.randint(1, 9)))) for i in range(5, 90)]
+    out = rows(line_dedup.deduplicated(spark.createDataFrame(data, "doc_id long, text string"), words=4))
+    assert {i: out[i].text for i, _ in data} == plain(data, 4)
+
+
+def test_line_dedup_of_frequent_keys(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "MANY", 3)
+    r = random.Random(11)
+    pool = [*(f"line {i}" for i in range(4)), "L" * 60, "", *(f"only {i}" for i in range(40))]
+    data = [(i, "\n".join(r.choice(pool) for _ in range(r.randint(0, 12)))) for i in range(80)]
+    out = rows(line_dedup.deduplicated(spark.createDataFrame(data, "doc_id long, text string")))
+    assert {i: out[i].text for i, _ in data} == plain_lines(data)
+
+
 # op4 and op10
 
 
