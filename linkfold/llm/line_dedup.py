@@ -19,7 +19,8 @@ def _lines(docs: DataFrame, long: int, words: int | None) -> DataFrame:
     n = F.lit(0)
     if words is not None:
         n = F.least(F.size(F.filter(F.split("_line", f"[{''.join(f'\\x{b:02x}' for b in SPACES)}]+"), lambda x: x != "")), F.lit(words))
-    hashes = F.xxhash64("_line").alias("h"), F.xxhash64(F.lit("second"), "_line").alias("g")
+    # of xxhash64 alone, another seed would often not part lines that one seed does not
+    hashes = F.xxhash64("_line").alias("h"), F.xxhash64(F.sha2("_line", 256)).alias("g")
     return d.select("_doc", "_text", "at", *hashes, (F.length("_line") >= long).alias("long"), n.alias("words"))
 
 
@@ -65,7 +66,7 @@ def deduplicated(docs: DataFrame, lines: int = LINES, long: int = LONG, words: i
     a line of a third of all documents is one group of partial aggregates.
 
     A null text stays null, with 0 lines. An empty text is one empty line. A text whose lines all go becomes empty. Runs
-    are equal if two 64-bit hashes of different seeds are. A null doc_id comes last. Rows of the same doc_id are one place
+    are equal if two 64-bit hashes are, of which one is made of SHA-256 of the lines. A null doc_id comes last. Rows of the same doc_id are one place
     for the order: the copies of a run at the same line of them all stay or all go. Columns named like a new one are
     replaced; an empty table gives one.
     """

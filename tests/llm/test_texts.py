@@ -126,6 +126,9 @@ def test_mixing_edges(spark):
 
 # op2
 
+#: Two lines of one xxhash64.
+COLLIDING = "eszycidpyopumzgdpamntyyawoixzhsdkaaauramvgnxaqhyoprhlhvhyojanrud", "zlppedqyyopumzgdpamntyyawoixzhsd!mbR'89<vgnxaqhyoprhlhvhyojanrud"
+
 
 def plain_lines(data, lines=3, long=60):
     runs = []
@@ -192,6 +195,13 @@ def test_line_dedup_of_frequent_keys(spark, monkeypatch):
     assert {i: out[i].text for i, _ in data} == plain_lines(data)
 
 
+def test_line_dedup_tells_lines_of_one_hash_apart(spark):
+    a, b = COLLIDING
+    one = spark.createDataFrame([(1, a), (2, b), (3, a)], "doc_id long, text string")
+    assert one.select(F.xxhash64("text")).distinct().count() == 1
+    assert {i: r.n_removed for i, r in rows(line_dedup.deduplicated(one)).items()} == {1: 0, 2: 0, 3: 1}
+
+
 # op4 and op10
 
 
