@@ -32,10 +32,16 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the least doc_id. Rows of one doc_id stay or go together."""
+    """One row of each group of near duplicates, of its least doc_id (null comes last). Rows without words all stay.
+
+    Rows are told apart by number, so a doc_id may have several texts, or repeat, or be null.
+    """
     ship(spark)
-    gone = minhash_dedup.near_duplicates(docs, size=5, percent=80).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = minhash_dedup.near_duplicates(rows, size=5, percent=80, row="_row").filter("component is not null")
+    found = written(found.select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("_doc"), "_row", "component"), "found")
+    kept = found.groupBy("component").agg(F.min(F.struct("_doc", "_row")).alias("_kept")).select(F.col("_kept._row").alias("_row"))
+    return rows.join(found.join(kept, "_row", "left_anti"), "_row", "left_anti").drop("_row")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,9 +42,9 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int):
         yield lo, hi, row[new], h[new]
 
 
-def signatures(docs: DataFrame, size: int, sketch: int = SKETCH) -> DataFrame:
-    """doc_id, n, h1, h2 and sketch of every row: the size of its set, two hashes of all of it, and its least values."""
-    schema = T.StructType([docs.schema["doc_id"], *[T.StructField(c, T.LongType()) for c in ("n", "h1", "h2")], T.StructField("sketch", T.ArrayType(T.LongType()))])
+def signatures(docs: DataFrame, size: int, sketch: int = SKETCH, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """keys, n, h1, h2 and sketch of every row: the size of its set, two hashes of all of it, and its least values."""
+    schema = T.StructType([*[docs.schema[c] for c in keys], *[T.StructField(c, T.LongType()) for c in ("n", "h1", "h2")], T.StructField("sketch", T.ArrayType(T.LongType()))])
 
     def run(batches):
         import pyarrow as pa
@@ -59,9 +59,9 @@ def signatures(docs: DataFrame, size: int, sketch: int = SKETCH) -> DataFrame:
                 few = np.minimum(n, sketch)
                 take = np.arange(few.sum()) - np.repeat(np.cumsum(few) - few, few) + np.repeat(ends[:-1], few)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(few))).astype(np.int32)), pa.array(h[take]))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(n), pa.array(h1), pa.array(h2), lists], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(lo, hi - lo) for c in keys], pa.array(n), pa.array(h1), pa.array(h2), lists], names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select(*keys, "text").mapInArrow(run, schema)
 
 
 def full_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -87,14 +87,16 @@ def estimate(a: str, b: str, sketch: int = SKETCH) -> Column:
     return F.size(F.array_intersect(least, F.array_intersect(a, b))) / F.size(least)
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, posted: int = POSTED, rounds: int = ROUNDS) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, posted: int = POSTED, rounds: int = ROUNDS, row: str | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of docs(doc_id, text).
 
     Words are [^\\x20\\x09-\\x0D]+ after A-Z are lower-cased; the set of a text are its distinct shingles of `size` words, or
     all its words as one if they are fewer. Texts are linked if 100 * intersection >= percent * union of their full sets.
     component_id is the least doc_id that links lead to, and kept tells that it is the row's own. A null or empty text, or
     one without words, has no set and is linked with nothing. Rows of one doc_id with unequal sets are different texts; a
-    null doc_id is never the least but where there is no other. Other columns are dropped; an empty table gives one.
+    null doc_id is never the least but where there is no other. Other columns are dropped; an empty table gives one. `row`
+    names a column that tells rows apart: it is kept too, with component: the same for the rows of one component alone (a
+    component_id may be that of several, where a doc_id is), and null for a row without a set.
 
     One hash function gives every set its sketch, the least of its hashes in order. Equal sets are one node. The `posted`
     least values are posted in inverted lists, each value under itself and the next two, so a list holds the nodes in whose
@@ -111,7 +113,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, posted: i
     group, where many texts of it are just too far from all hubs.
     """
     spark = docs.sparkSession
-    rows = common.written(signatures(docs, size), "signatures")
+    keys = ["doc_id"] if row is None else ["doc_id", row]
+    rows = common.written(signatures(docs, size, keys=tuple(keys)), "signatures")
     o = F.coalesce(F.min("doc_id"), F.lit((1 << 63) - 1))
     classes = rows.filter("n > 0").groupBy("h1", "h2").agg(o.alias("o"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     classes = common.written(classes.select(F.struct("o", "h1", "h2").alias("node"), "n", "sketch"), "classes")
@@ -158,14 +161,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, posted: i
             continue
         links = new if links is None else links.unionByName(new)
         whole = components(links)
-    out = rows.select("doc_id", "n", "h1", "h2")
+    out = rows.select(*keys, "n", "h1", "h2")
     if whole is None:
         whole = classes.select("node", F.col("node").alias("component")).limit(0)
     # the component of every class; classes are matched by both hashes
-    final = classes.select("node").join(whole, "node", "left").select(F.col("node.h1").alias("_h1"), F.col("node.h2").alias("_h2"), F.coalesce("component", "node")["o"].alias("_o"))
+    final = classes.select("node").join(whole, "node", "left").select(F.col("node.h1").alias("_h1"), F.col("node.h2").alias("_h2"), F.coalesce("component", "node")["o"].alias("_o"), *([] if row is None else [F.coalesce("component", "node").alias("component")]))
     out = out.join(final, (out.h1 == final["_h1"]) & (out.h2 == final["_h2"]) & (out.n > 0), "left")
     component = F.when(F.col("n") > 0, F.when(F.col("_o") == (1 << 63) - 1, F.col("doc_id")).otherwise(F.col("_o"))).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    more = [] if row is None else [row, "component"]
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), *more)
 
 
 def signatures_and_text(docs: DataFrame, size: int) -> DataFrame:

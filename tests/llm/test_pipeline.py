@@ -18,3 +18,11 @@ def test_stages(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, str(tmp_path)).select(*docs.columns) if stage is not corpus_pipeline.tokens else stage(spark, empty, str(tmp_path))
     assert empty.count() == 0
+
+
+def test_near_copies_by_row(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (None, a), (None, c), (None, c), (7, a.upper()), (7, c), (8, b), (8, b), (9, None), (9, ""), (9, "")]
+    out = corpus_pipeline.near_copies(spark, documents(spark, [(i, t, "en", "s", 0) for i, t in rows]), "")
+    assert out.columns == documents(spark, []).columns
+    assert sorted((r.doc_id, r.text or "") for r in out.collect()) == [(3, a), (5, b), (7, c), (9, ""), (9, ""), (9, "")]
