@@ -66,13 +66,14 @@ class Top:
         return pa.RecordBatch.from_arrays([pa.array(self.ids[q]), pa.array(self.found[q, at]), pa.array(self.score[q, at].astype(np.int64))], names=["query_id", "vec_id", "score"])
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, block: int = BLOCK, span: int = RANGE) -> DataFrame:
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, block: int = BLOCK, span: int = RANGE, repeated: bool = False) -> DataFrame:
     """query_id, rank, vec_id and score: the k greatest inner products of each query with all vectors but that of its own id.
 
     vectors and queries have (vec_id, v), v an array of whole numbers as doubles, of one length within each (sums below
     2**53 are exact); other lengths are matched among themselves. Ties go to the smaller vec_id; a query has fewer rows
     if there are fewer vectors. Rows without vec_id, and vectors that are null, empty or hold null or non-finite
-    components take no part. Rows of one vec_id are one vector, the least. An empty table gives an empty one.
+    components take no part. Rows of one vec_id are one vector, the least; with `repeated` (the rule of OP6_SQL) every row
+    takes part, and the query rows of one vec_id are ranked together. An empty table gives an empty one.
 
     Vectors are put in order of direction and cut into ranges, ranges into blocks. A block's bound for a query is the sum
     over dimensions of the largest term that any of its vectors can add; blocks are gone through by falling bounds, from
@@ -82,26 +83,30 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, block: int = BLOC
     spark = vectors.sparkSession
 
     def tidy(df):
-        df = df.filter(F.col("vec_id").isNotNull() & finite("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+        df = df.filter(F.col("vec_id").isNotNull() & finite("v"))
+        if repeated:
+            df = df.select("vec_id", "v", F.monotonically_increasing_id().alias("row"))
+        else:
+            df = df.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("row", F.col("vec_id"))
         return df.withColumn("dim", F.size("v"))
 
     vectors, queries = common.written(tidy(vectors), "vectors"), common.written(tidy(queries), "queries")
     out = None
     for (dim,) in vectors.select("dim").distinct().collect():
-        x = vectors.filter(F.col("dim") == dim).select("vec_id", "v")
-        sample = np.array([r.v for r in x.orderBy(F.xxhash64("vec_id")).limit(PIVOTS).collect()], float)
+        x = vectors.filter(F.col("dim") == dim).select("vec_id", "v", "row")
+        sample = np.array([r.v for r in x.orderBy(F.xxhash64("row")).limit(PIVOTS).collect()], float)
         pivots = sample / np.maximum(np.linalg.norm(sample, axis=1, keepdims=True), 1e-9)
         x = common.written(ordered(x, pivots), "ordered")
         counts = {r["cell"]: r["count"] for r in x.groupBy("cell").count().collect()}  # PIVOTS rows at most
         many = {c: -(-n // span) for c, n in counts.items()}
         first = dict(zip(many, np.cumsum([0, *many.values()])[:-1].tolist(), strict=True))
         of = lambda d: F.create_map(*[F.lit(z) for c in d for z in (c, d[c])])[F.col("cell")]
-        x = x.withColumn("range", (of(first) + F.pmod(F.xxhash64("vec_id"), of(many))).cast("int"))
+        x = x.withColumn("range", (of(first) + F.pmod(F.xxhash64("row"), of(many))).cast("int"))
         ranges = packed(x, ["range"], ["vec_id"], "<f8").withColumn("group", F.floor(F.col("range") / GROUP).cast("int"))
         groups = -(-sum(many.values()) // GROUP)
-        q = queries.filter(F.col("dim") == dim).select("vec_id", "v")
+        q = queries.filter(F.col("dim") == dim).select("vec_id", "v", "row")
         packs = max(1, -(-q.count() // QUERIES))
-        q = packed(q.withColumn("pack", F.pmod(F.xxhash64("vec_id"), F.lit(packs)).cast("int")), ["pack"], ["vec_id"], "<f8")
+        q = packed(q.withColumn("pack", F.pmod(F.xxhash64("row"), F.lit(packs)).cast("int")), ["pack"], ["vec_id"], "<f8")
         q = q.select("pack", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
         part = q.join(ranges, "group").select("pack", "group", "q_ids", "q_data", "ids", "data").mapInArrow(_search(dim, k, block), "query_id long, vec_id long, score long")
         out = part if out is None else out.unionByName(part)
@@ -136,7 +141,7 @@ def _matrix(batch, row: int, ids: str, data: str, dim: int):
 def op6(spark, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     rows = rows.filter(finite("embedding")).select("vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * 64).cast("double")).alias("v"))
-    return top_k(rows, rows.filter(F.col("vec_id") % 20 == 0))
+    return top_k(rows, rows.filter(F.col("vec_id") % 20 == 0), repeated=True)
 
 
 #: DuckDB SQL for op6.

@@ -61,3 +61,16 @@ def test_top_k_equals_plain(spark, k, block, span):
         s = sorted(((-int(v @ x[q]), i) for i, v in everything.items() if i != q))[:k]
         assert sorted(got[q]) == [(n + 1, i, -c) for n, (c, i) in enumerate(s)]
     assert topk_search.top_k(df.limit(0), df.limit(0)).count() == 0
+
+
+def test_op6_takes_every_row(spark, tmp_path):
+    r = np.random.default_rng(3)
+    data = [(int(i), [float(z) for z in r.integers(-4, 5, 4)]) for i in r.integers(0, 45, 120)]
+    data += data[:5]
+    spark.createDataFrame([(i, [z / 64 for z in v]) for i, v in data], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = sorted((x.query_id, x["rank"], x.vec_id, x.score) for x in topk_search.op6(spark, str(tmp_path)).collect())
+    want = []
+    for q in {i for i, _ in data if i % 20 == 0}:
+        s = sorted((-int(np.dot(a, b)), j) for i, a in data if i == q for j, b in data if j != q)[:20]
+        want += [(q, n + 1, j, -c) for n, (c, j) in enumerate(s)]
+    assert got == sorted(want)
