@@ -106,14 +106,19 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS, candidates: int =
 
     sample = labelled(docs, labels, rows)
 
-    def positive(batches):
+    def counted(batches):
         for batch in batches:
-            for _, _, _, found in features(batch.column("text")):
-                hashes, n = np.unique(found, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n.astype(np.int64))], names=["feature", "n"])
-
-    common_ones = sample.filter("toxic = 1").select("text").mapInArrow(positive, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
-    top = common_ones.filter(F.col("n") >= SUPPORT).orderBy(F.col("n").desc(), "feature").limit(candidates).select("feature").toPandas()
+            toxic = batch.column("toxic").to_numpy(zero_copy_only=False) == 1
+            for lo, _, row, found in features(batch.column("text")):
+                hashes, at = np.unique(found, return_inverse=True)
+                n, of_toxic = np.bincount(at, minlength=len(hashes)), np.bincount(at, toxic[lo + row], len(hashes))
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), *[pa.array(x.astype(np.int64)) for x in (of_toxic, n - of_toxic)]], names=["feature", "t", "c"])
+
+    rows_of = {r["toxic"] == 1: r["count"] for r in sample.groupBy((F.col("toxic") == 1).alias("toxic")).count().collect()}
+    found = sample.select("text", "toxic").mapInArrow(counted, "feature long, t long, c long").groupBy("feature").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+    # the order in which learn() takes them, so that none that it would take of all is cut
+    odds = F.log((F.col("t") + 0.1) / (rows_of.get(True, 0) + 0.2)) - F.log((F.col("c") + 0.1) / (rows_of.get(False, 0) + 0.2))
+    top = found.filter(F.col("t") >= SUPPORT).orderBy((odds > 1.0).desc(), (odds * F.sqrt("t")).desc(), "feature").limit(candidates).select("feature").toPandas()
     wanted = np.sort(top["feature"].to_numpy(np.int64).view(np.uint64))
 
     def present(batches):

@@ -348,6 +348,15 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(0 <= x.score <= 1 for x in out) and len(out) == 902
 
 
+def test_toxicity_of_words_that_are_not_frequent(spark):
+    data = [(i, "plain words stand here " + (f"bad{i % 5}" if i % 5 < 3 and i % 4 == 0 else "fine"), "en", "s", 0) for i in range(400)]
+    docs = documents(spark, data)
+    table = spark.createDataFrame([(i, 1, int("bad" in t)) for i, t, *_ in data], "doc_id long, quality int, toxic int")
+    every, few = toxicity.fit(docs, table, size=3), toxicity.fit(docs, table, candidates=3, size=3)
+    assert len(every.features) == 3
+    assert (few.features == every.features).all() and np.allclose(few.weights, every.weights)
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     out = toxicity.score(documents(spark), toxicity.fit(documents(spark), none)).collect()
