@@ -14,7 +14,6 @@ SPACES = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 #: The same set as a regular expression for Spark SQL and DuckDB.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_BASE = 0x9E3779B97F4A7C15
 _CHUNK = 1 << 19
 
 
@@ -36,7 +35,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it again: the lineage is cut, and a lost executor takes nothing along."""
     path = scratch(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def dropped(*tables: DataFrame | None) -> None:
+    """Remove tables of written() that nothing reads any more."""
+    for df in tables:
+        if df is not None:
+            delete(df.sparkSession, df._written_to)
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -55,30 +63,7 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-# --- rolling hashes ---------------------------------------------------------
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    p = np.empty(n, np.uint64)
-    p[0] = 1
-    done = 1
-    while done < n:
-        step = min(done, n - done)
-        p[done : done + step] = p[:step] * np.uint64(pow(base, done, 1 << 64))
-        done += step
-    return p
-
-
-_tables: dict = {}
-
-
-def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2**64, at least n of each."""
-    have = len(_tables["up"]) if "up" in _tables else 0
-    if have < n:
-        size = max(n, _CHUNK + 1, 2 * have)
-        _tables["up"], _tables["down"] = _powers(_BASE, size), _powers(pow(_BASE, -1, 1 << 64), size)
-    return _tables["up"][:n], _tables["down"][:n]
+# --- hashes -----------------------------------------------------------------
 
 
 @functools.cache
@@ -109,17 +94,46 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def prefix_sums(values: np.ndarray) -> np.ndarray:
-    """sums[i] = sum of values[j] * base**j over j < i; span_hash() reads the hash of any span off it."""
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * power_tables(len(values))[0], out=sums[1:])
-    return sums
+def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The hash of two parts that follow each other, from their hashes. mix() stands between any two steps, so no sum of
+    products is left that texts of some build (as Thue-Morse words are for polynomials) could make vanish."""
+    return mix(a * np.uint64(0x9E3779B97F4A7C15) + b)
+
+
+class Spans:
+    """Hashes of spans of a sequence of 64-bit values, equal for equal content wherever it stands.
 
+    Level k holds the hash of the 2**k values from each place on, made of two hashes of level k - 1.
+    """
 
-def span_hash(sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the spans start:stop, equal for equal content wherever it stands."""
-    down = power_tables(len(sums))[1]
-    return mix((sums[stop] - sums[start]) * down[start] + (stop - start).astype(np.uint64))
+    def __init__(self, values: np.ndarray):
+        self.levels = [mix(values)]
+
+    def level(self, k: int) -> np.ndarray:
+        while len(self.levels) <= k:
+            half, below = 1 << (len(self.levels) - 1), self.levels[-1]
+            self.levels.append(pair(below[: max(0, len(below) - half)], below[half:]))
+        return self.levels[k]
+
+    def fixed(self, length: int) -> np.ndarray:
+        """The hash of `length` values from each place on that has so many."""
+        n, out, at = max(0, len(self.levels[0]) - length + 1), None, 0
+        for k in reversed(range(length.bit_length())):
+            if length >> k & 1:
+                part = self.level(k)[at : at + n]
+                out = part if out is None else pair(out, part)
+                at += 1 << k
+        return out
+
+    def spans(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """The hashes of start:stop, none of them empty: of two halves that may overlap, and the length."""
+        length = stop - start
+        top = np.frexp(length.astype(float))[1] - 1
+        out = np.zeros(len(start), np.uint64)
+        for k in np.unique(top).tolist():
+            own, level = top == k, self.level(k)
+            out[own] = pair(pair(level[start[own]], level[stop[own] - (1 << k)]), length[own].astype(np.uint64))
+        return out
 
 
 # --- texts ------------------------------------------------------------------
@@ -162,9 +176,31 @@ def words(data: np.ndarray, offsets: np.ndarray, letters: np.ndarray | None = No
     return starts, stops, np.searchsorted(starts, offsets)
 
 
+#: Bytes from which on a word is hashed by itself.
+_LONG = 64
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """A 64-bit hash for each word."""
-    return span_hash(prefix_sums(byte_values()[data]), starts, stops)
+    """A 64-bit hash for each word, none of them empty: eight bytes a step, all words together; long words one by one."""
+    import xxhash
+
+    n = stops - starts
+    out = mix(n.astype(np.uint64))
+    if not len(n):
+        return out
+    # the eight bytes from every place on
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    eight = np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))
+    keep = np.concatenate(([0], (np.uint64(1) << np.arange(8, 64, 8, dtype=np.uint64)) - np.uint64(1), [0xFFFFFFFFFFFFFFFF])).astype(np.uint64)
+    live, at = np.flatnonzero(n <= _LONG), 0
+    while len(live):
+        left = n[live] - at
+        out[live] = pair(out[live], eight[starts[live] + at] & keep[np.minimum(left, 8)])
+        at += 8
+        live = live[left > 8]
+    for i in np.flatnonzero(n > _LONG).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : stops[i]].tobytes())
+    return out
 
 
 def sha256(pieces) -> str:

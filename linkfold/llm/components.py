@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import dropped, written
 
 
 def components(links: DataFrame, rounds: int = 100) -> DataFrame:
@@ -22,7 +22,11 @@ def components(links: DataFrame, rounds: int = 100) -> DataFrame:
         step = now.join(near, "node").select("node", F.col("component").alias("_was"), F.least("component", "_near").alias("_to"))
         jump = now.select(F.col("node").alias("_to"), F.col("component").alias("component"))
         step = written(step.join(jump, "_to").select("node", "component", (F.col("component") != F.col("_was")).alias("_new")), "components")
-        now = step.select("node", "component")
+        dropped(now)
+        now = step
         if step.filter("_new").isEmpty():
+            dropped(both)
+            now = step.select("node", "component")
+            now._written_to = step._written_to
             return now
     raise RuntimeError(f"components did not settle in {rounds} rounds")

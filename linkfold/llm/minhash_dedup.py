@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,14 +12,15 @@ from pyspark.sql import types as T
 from . import common
 from .components import components
 
-#: Values of a sketch, and how many of the least of them are posted in inverted lists.
-SKETCH, POSTED = 64, 48
-#: Values that follow each other in a list's name; sets of up to SMALL values are posted by two as well.
-RUN, SMALL = 3, 8
-#: Lists that are tried first, and rounds of tests against one hub a list.
-FIRST, ROUNDS = 8, 3
-#: How far below the asked similarity an estimate may be: five standard deviations and more of one from SKETCH values.
-SLACK = 0.3
+#: Values of a sketch.
+SKETCH = 64
+#: How far an estimate from a sketch may be off, in standard deviations of it.
+SIGMAS = 5.0
+#: Rounds in which every list tests its sets against one of them.
+ROUNDS = 2
+#: Ratio of the sizes that one band holds.
+BAND = 1.1
+_LAST = (1 << 63) - 1
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int):
@@ -29,12 +32,16 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int):
         if not len(starts):
             yield lo, hi, np.zeros(0, np.int64), np.zeros(0, np.int64)
             continue
-        sums = common.prefix_sums(common.word_hashes(part, starts, stops))
+        words = common.word_hashes(part, starts, stops)
         n = np.diff(rows)
         many = np.where(n >= size, n - size + 1, np.minimum(n, 1))
         row = np.repeat(np.arange(hi - lo), many)
         first = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + rows[:-1][row]
-        h = common.span_hash(sums, first, np.minimum(first + size, rows[1:][row])).view(np.int64)
+        h = words[first]
+        for k in range(1, size):
+            more = np.flatnonzero(first + k < rows[1:][row])
+            h[more] = common.pair(h[more], words[first[more] + k])
+        h = h.view(np.int64)
         order = np.lexsort((h, row))
         row, h = row[order], h[order]
         new = np.ones(len(h), bool)
@@ -42,6 +49,15 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int):
         yield lo, hi, row[new], h[new]
 
 
+def _whole(ends: np.ndarray, h: np.ndarray) -> list[np.ndarray]:
+    """Two independent hashes of every set: sums of two mixes of its shingles, mixed again with its size."""
+    out = []
+    for x in (common.mix(h.view(np.uint64)), common.mix(common.mix(~h.view(np.uint64)))):
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(x)))
+        out.append(common.pair(sums[ends[1:]] - sums[ends[:-1]], np.diff(ends).astype(np.uint64)).view(np.int64))
+    return out
+
+
 def signatures(docs: DataFrame, size: int, sketch: int = SKETCH, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keys, n, h1, h2 and sketch of every row: the size of its set, two hashes of all of it, and its least values."""
     schema = T.StructType([*[docs.schema[c] for c in keys], *[T.StructField(c, T.LongType()) for c in ("n", "h1", "h2")], T.StructField("sketch", T.ArrayType(T.LongType()))])
@@ -54,20 +70,18 @@ def signatures(docs: DataFrame, size: int, sketch: int = SKETCH, keys: tuple[str
             for lo, hi, row, h in shingles(data, offsets, size):
                 ends = np.searchsorted(row, np.arange(hi - lo + 1))
                 n = np.diff(ends)
-                sums = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(x))) for x in (common.mix(h.view(np.uint64)), common.mix(~h.view(np.uint64)))]
-                h1, h2 = ((s[ends[1:]] - s[ends[:-1]]).view(np.int64) for s in sums)
                 few = np.minimum(n, sketch)
                 take = np.arange(few.sum()) - np.repeat(np.cumsum(few) - few, few) + np.repeat(ends[:-1], few)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(few))).astype(np.int32)), pa.array(h[take]))
-                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(lo, hi - lo) for c in keys], pa.array(n), pa.array(h1), pa.array(h2), lists], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(lo, hi - lo) for c in keys], pa.array(n), *map(pa.array, _whole(ends, h)), lists], names=schema.names)
 
     return docs.select(*keys, "text").mapInArrow(run, schema)
 
 
 def full_sets(docs: DataFrame, size: int) -> DataFrame:
-    """all, the whole set, beside the other columns of rows with a text."""
+    """h1, h2 and all, the whole set, beside the other columns of rows with a text."""
     kept = [f for f in docs.schema.fields if f.name != "text"]
-    schema = T.StructType([*kept, T.StructField("all", T.ArrayType(T.LongType()))])
+    schema = T.StructType([*kept, T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("all", T.ArrayType(T.LongType()))])
 
     def run(batches):
         import pyarrow as pa
@@ -76,7 +90,8 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
             data, offsets = common.text_buffers(batch.column("text"))
             for lo, hi, row, h in shingles(data, offsets, size):
                 ends = np.searchsorted(row, np.arange(hi - lo + 1))
-                yield pa.RecordBatch.from_arrays([*[batch.column(f.name).slice(lo, hi - lo) for f in kept], pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(h))], names=schema.names)
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(h))
+                yield pa.RecordBatch.from_arrays([*[batch.column(f.name).slice(lo, hi - lo) for f in kept], *map(pa.array, _whole(ends, h)), lists], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
@@ -87,7 +102,32 @@ def estimate(a: str, b: str, sketch: int = SKETCH) -> Column:
     return F.size(F.array_intersect(least, F.array_intersect(a, b))) / F.size(least)
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, posted: int = POSTED, rounds: int = ROUNDS, row: str | None = None) -> DataFrame:
+def _slack(percent: int, sketch: int) -> float:
+    share = percent / 100
+    return SIGMAS * math.sqrt(share * (1 - share) / sketch)
+
+
+def lists(classes: DataFrame, percent: int, sketch: int = SKETCH) -> DataFrame:
+    """(list, id, n): the inverted lists, of two sets or more, of the retained values that a pair must share one of.
+
+    Two sketches of sets that are similar enough overlap in some number of values at least: exactly known where both sets
+    are whole in them, else but for SIGMAS. So if every sketch is put in one order, and only its first values are posted
+    until fewer are left than that number, such sketches meet in a list. The order is by frequency: what many sets retain
+    comes last and is hardly ever posted, unless the sets are near copies of each other.
+    """
+    every = classes.select("id", "n", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
+    counts = every.groupBy("value").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
+    shared = every.join(counts, "value").groupBy("id", "n", "k").agg(F.array_sort(F.collect_list(F.struct("f", "value"))).alias("values"))
+    whole = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
+    part = F.col("k") - math.floor(sketch * (percent / 100 - _slack(percent, sketch))) + 1
+    first = F.when(F.col("n") * 100 <= sketch * percent, whole).otherwise(part).cast("int")
+    # values of one set only come first in the order and make no list
+    many = F.greatest(F.lit(0), first - (F.col("k") - F.size("values")))
+    posts = shared.select("id", "n", F.explode(F.slice("values", 1, many)).alias("x")).select(F.col("x.value").alias("list"), "id", "n")
+    return posts
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rounds: int = ROUNDS, row: str | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of docs(doc_id, text).
 
     Words are [^\\x20\\x09-\\x0D]+ after A-Z are lower-cased; the set of a text are its distinct shingles of `size` words, or
@@ -96,111 +136,137 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, posted: i
     one without words, has no set and is linked with nothing. Rows of one doc_id with unequal sets are different texts; a
     null doc_id is never the least but where there is no other. Other columns are dropped; an empty table gives one. `row`
     names a column that tells rows apart: it is kept too, with component: the same for the rows of one component alone (a
-    component_id may be that of several, where a doc_id is), and null for a row without a set.
-
-    One hash function gives every set its sketch, the least of its hashes in order. Equal sets are one node. The `posted`
-    least values are posted in inverted lists, each value under itself and the next two, so a list holds the nodes in whose
-    sketches all three follow each other (and few others: frequent values alone make no list). Two sets of similarity s fail
-    to share a list with a probability below 1e-7 (for s = 0.8 and 48 values: 48 draws without three hits in a row), and
-    never if they have no more values than that: then too few are missing to part all runs. That needs six values or more,
-    so small sets are posted by runs of two too.
-
-    In a round every list tests its nodes against one hub, but those that are in the hub's component already; what fits by
-    size and by the estimate from both sketches is verified on the full sets. The hub is the node that meets most others in
-    its lists, which in a group of near copies is the text that they were made from, or the one nearest to it (in the third
-    round, any). As groups fall together in the first rounds, the last one can test all pairs of a list that are still in
-    different components: no link between components is lost. That last round is what can still grow with the square of a
-    group, where many texts of it are just too far from all hubs.
+    component_id may be that of several, where a doc_id is), and null for a row without a set. A shingle is known by a
+    64-bit hash, a set as a whole by 128 bits. A text is taken whole: a task holds some 60 bytes for each of its bytes.
+
+    One hash function gives every set its sketch, the least of its hashes in order. Equal sets are one node. Retained
+    values make inverted lists (see lists()); nodes overlap if they meet in one.
+
+    In a round, every list tests its nodes against its hub, and no two others: as many tests as the lists have rows, at
+    most. The hub is the node that meets most others in all its lists, which in a group of near copies is the text that
+    they were made from or the one nearest to it; in other rounds, any. What fits by size and by the estimate from the
+    sketch of the union is verified on the full sets.
+
+    Lists with nodes that are still unlinked are judged by their hub h (see leftover()): what each node shares with h
+    bounds what two of them can share, but for values that are not in h. So only those pairs are left that share a
+    value which h lacks, or that the bound lets pass, not all pairs of a list.
     """
-    spark = docs.sparkSession
     keys = ["doc_id"] if row is None else ["doc_id", row]
     rows = common.written(signatures(docs, size, keys=tuple(keys)), "signatures")
-    o = F.coalesce(F.min("doc_id"), F.lit((1 << 63) - 1))
-    classes = rows.filter("n > 0").groupBy("h1", "h2").agg(o.alias("o"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    classes = common.written(classes.select(F.struct("o", "h1", "h2").alias("node"), "n", "sketch"), "classes")
-    low = F.slice("sketch", 1, posted)
-
-    def runs(k: int, when: Column) -> Column:
-        """Lists of the runs of k values."""
-        names = F.transform(F.sequence(F.lit(1), F.size(low) - k + 1), lambda i: F.struct(i.alias("at"), F.xxhash64(F.lit(k), F.slice(low, i, k)).alias("list")))
-        return F.when(when & (F.size(low) >= k), names).otherwise(F.array().cast("array<struct<at:int,list:bigint>>"))
-
-    posts = classes.select("node", "n", F.inline(F.concat(runs(RUN, F.lit(True)), runs(2, F.col("n") <= SMALL))))
-    shared = posts.groupBy("list").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("list")
-    posts = posts.join(shared, "list", "left_semi")
-    # how many meetings a node has in all its lists: a text that many others were made from has the most
-    sizes = posts.groupBy("list").agg(F.count(F.lit(1)).alias("_c"))
-    fame = posts.join(sizes, "list").groupBy("node").agg(F.sum("_c").alias("fame"))
-    posts = common.written(posts.join(fame, "node"), "posts")
-    members = posts.select("node").distinct()
-    # a node is known by its least row; its set is computed again there and told by both hashes
-    wanted = members.join(classes, "node").select("node", "sketch", F.col("node.o").alias("o"), F.col("node.h1").alias("h1"), F.col("node.h2").alias("h2"))
-    found = signatures_and_text(docs.select("doc_id", "text"), size).join(wanted, ["o", "h1", "h2"]).dropDuplicates(["o", "h1", "h2"])
-    sets = common.written(full_sets(found.select("node", "sketch", "text"), size), "sets")
-
-    links = None
-    whole = None
+    classes = rows.filter("n > 0").groupBy("h1", "h2").agg(F.coalesce(F.min("doc_id"), F.lit(_LAST)).alias("o"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    classes = common.written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    posts = common.written(lists(classes, percent), "posts")
+    sizes = posts.groupBy("list").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1")
+    posts, old = common.written(posts.join(sizes, "list"), "posts"), posts
+    common.dropped(old)
+    fame = posts.groupBy("id").agg(F.sum("_c").alias("fame"))
+    posts, old = common.written(posts.drop("_c").join(fame, "id"), "posts"), posts
+    common.dropped(old)
+    # the set of a node is computed again from a row of its least doc_id, and told by both hashes
+    wanted = posts.select("id").distinct().join(classes, "id")
+    places = wanted.select(F.col("o").alias("_o"), F.col("id").alias("_id"), F.col("h1").alias("_h1"), F.col("h2").alias("_h2"))
+    texts = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("_o"), "text")
+    texts = texts.join(places.select("_o").distinct(), "_o", "left_semi")
+    sets = full_sets(texts, size).withColumnsRenamed({"h1": "_h1", "h2": "_h2"}).join(places, ["_o", "_h1", "_h2"]).dropDuplicates(["_id"])
+    sets = common.written(sets.select(F.col("_id").alias("id"), "all"), "sets")
+    sketches = common.written(wanted.select("id", "sketch"), "sketches")
+
+    links, whole = [], None
     for k in range(rounds + 1):
-        p = posts.filter(F.col("at") <= FIRST) if k == 0 else posts
-        if whole is not None:
-            p = p.join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        else:
-            p = p.withColumn("component", F.col("node"))
-        fits = (F.least("n", "_n") * 100 >= F.greatest("n", "_n") * percent) & (F.col("component") != F.col("_component"))
+        p = posts.withColumn("component", F.col("id")) if whole is None else posts.join(whole.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+        hubs = p.groupBy("list").agg(F.min(F.struct((-F.col("fame") if k != 1 else F.xxhash64("id")).alias("r"), "id", "n", "component")).alias("hub"), F.min("component").alias("_x"), F.max("component").alias("_y"))
+        hubs = hubs.filter("_x != _y").select("list", F.col("hub.id").alias("h"), F.col("hub.n").alias("nh"), F.col("hub.component").alias("ch"))
+        met = p.join(hubs, "list").filter("id != h").select("id", "n", "component", "h", "nh", "ch").distinct()
         if k < rounds:
-            hub = p.groupBy("list").agg(F.min(F.struct((F.xxhash64("node", F.lit(k)) if k == 2 else -F.col("fame")).alias("r"), "node", "n", "component")).alias("hub"), F.count(F.lit(1)).alias("_c"), F.max("component").alias("_x"), F.min("component").alias("_y"))
-            other = hub.filter("_x != _y").select("list", F.col("hub.node").alias("_node"), F.col("hub.n").alias("_n"), F.col("hub.component").alias("_component"))
+            fits = met.filter("component != ch").filter(F.least("n", "nh") * 100 >= F.greatest("n", "nh") * percent)
+            new = common.written(verified(fits.select(F.col("id").alias("a"), F.col("h").alias("b")), sets, sketches, percent), "links")
         else:
-            several = p.groupBy("list").agg(F.min("component").alias("_x"), F.max("component").alias("_y")).filter("_x != _y").select("list")
-            p = p.join(several, "list", "left_semi")
-            other = p.select("list", F.col("node").alias("_node"), F.col("n").alias("_n"), F.col("component").alias("_component"))
-            fits = fits & (F.col("component") < F.col("_component"))
-        pairs = p.join(other, (p["list"] == other["list"]) & fits).select(F.col("node").alias("a"), F.col("_node").alias("b")).distinct()
-        new = common.written(verified(pairs, sets, percent), "links")
+            new = leftover(met, sets, sketches, percent)
         if new.isEmpty():
+            common.dropped(new)
             continue
-        links = new if links is None else links.unionByName(new)
-        whole = components(links)
+        links.append(new)
+        old, whole = whole, components(_union(links))
+        common.dropped(old)
+    final = classes.select("id", "o", "h1", "h2")
+    if whole is not None:
+        final = final.join(whole.withColumnRenamed("node", "id"), "id", "left")
+    else:
+        final = final.withColumn("component", F.col("id"))
+    final = final.withColumn("component", F.coalesce("component", "id"))
+    least = final.groupBy("component").agg(F.min("o").alias("_o"))
+    final = common.written(final.join(least, "component").select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "_o", "component"), "components")
+    common.dropped(classes, posts, sets, sketches, whole, *links)
     out = rows.select(*keys, "n", "h1", "h2")
-    if whole is None:
-        whole = classes.select("node", F.col("node").alias("component")).limit(0)
-    # the component of every class; classes are matched by both hashes
-    final = classes.select("node").join(whole, "node", "left").select(F.col("node.h1").alias("_h1"), F.col("node.h2").alias("_h2"), F.coalesce("component", "node")["o"].alias("_o"), *([] if row is None else [F.coalesce("component", "node").alias("component")]))
     out = out.join(final, (out.h1 == final["_h1"]) & (out.h2 == final["_h2"]) & (out.n > 0), "left")
-    component = F.when(F.col("n") > 0, F.when(F.col("_o") == (1 << 63) - 1, F.col("doc_id")).otherwise(F.col("_o"))).otherwise(F.col("doc_id"))
+    component = F.when(F.col("n") > 0, F.when(F.col("_o") == _LAST, F.col("doc_id")).otherwise(F.col("_o"))).otherwise(F.col("doc_id"))
     more = [] if row is None else [row, "component"]
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), *more)
 
 
-def signatures_and_text(docs: DataFrame, size: int) -> DataFrame:
-    """(o, h1, h2, text) of rows with a set."""
-    schema = "o long, h1 long, h2 long, text string"
-
-    def run(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        for batch in batches:
-            data, offsets = common.text_buffers(batch.column("text"))
-            for lo, hi, row, h in shingles(data, offsets, size):
-                ends = np.searchsorted(row, np.arange(hi - lo + 1))
-                sums = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(x))) for x in (common.mix(h.view(np.uint64)), common.mix(~h.view(np.uint64)))]
-                h1, h2 = (pa.array((s[ends[1:]] - s[ends[:-1]]).view(np.int64)) for s in sums)
-                o = pc.fill_null(batch.column("doc_id").slice(lo, hi - lo).cast(pa.int64()), (1 << 63) - 1)
-                yield pa.RecordBatch.from_arrays([o, h1, h2, batch.column("text").slice(lo, hi - lo)], names=["o", "h1", "h2", "text"]).filter(pa.array(np.diff(ends) > 0))
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out
 
-    return docs.mapInArrow(run, schema)
 
-
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) whose full sets are similar enough; their sketches are asked first."""
-    light = sets.select("node", "sketch")
-    near = pairs.join(light.select(F.col("node").alias("a"), F.col("sketch").alias("_sa")), "a").join(light.select(F.col("node").alias("b"), F.col("sketch").alias("_sb")), "b")
-    near = near.filter(estimate("_sa", "_sb") >= percent / 100 - SLACK).select("a", "b")
-    full = near.join(sets.select(F.col("node").alias("a"), F.col("all").alias("_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("all").alias("_b")), "b")
+    near = pairs.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("_sa")), "a").join(sketches.select(F.col("id").alias("b"), F.col("sketch").alias("_sb")), "b")
+    near = near.filter(estimate("_sa", "_sb") >= percent / 100 - _slack(percent, SKETCH)).select("a", "b")
+    full = near.join(sets.select(F.col("id").alias("a"), F.col("all").alias("_a")), "a").join(sets.select(F.col("id").alias("b"), F.col("all").alias("_b")), "b")
     full = full.withColumn("_both", F.size(F.array_intersect("_a", "_b")))
     return full.filter(F.col("_both") * 100 >= (F.size("_a") + F.size("_b") - F.col("_both")) * percent).select("a", "b")
 
 
+def leftover(met: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between nodes that have a hub in common and are in different components.
+
+    met(id, n, component, h, nh, ch) has the nodes of each hub h. Let i be how many values a node shares with h. Two nodes
+    u and w share min(i of u, i of w) values of h at most, and besides only values that h lacks. With p = percent, they are
+    linked if they share p * (n of u + n of w) / (100 + p) values or more. So either
+
+    - the first number alone is as much. One of them, u, is not in the component of h; then n of w is bounded by what u
+      shares with h, which for most u is less than any set that could be linked with it has. Sizes are dealt into bands.
+    - or they share values that h lacks. Those lists are short: h stands for all that its nodes have in common. With the
+      values of each node in one order, by their number among the nodes of h, the first that two nodes share tells how
+      many more they can share; what cannot suffice makes no pair.
+    """
+    a_set, b_set = sets.select("id", F.col("all").alias("_all")), sets.select(F.col("id").alias("h"), F.col("all").alias("_hub"))
+    own = met.join(a_set, "id").join(b_set, "h").withColumn("_more", F.array_except("_all", "_hub"))
+    own = common.written(own.select("h", "id", "n", "nh", "component", "ch", (F.col("n") - F.size("_more")).alias("i"), "_more"), "apart")
+    direct = own.filter("component != ch").filter(F.col("i") * 100 >= (F.col("n") + F.col("nh") - F.col("i")) * percent).select(F.col("id").alias("a"), F.col("h").alias("b"))
+
+    def side(df: DataFrame, mark: str, *columns: str) -> DataFrame:
+        return df.select(*columns, *[F.col(c).alias(c + mark) for c in ("id", "n", "component", "i", "out")])
+
+    def fits(more: Column) -> Column:
+        near = F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent
+        enough = (more + F.least("i1", "i2")) * (100 + percent) >= (F.col("n1") + F.col("n2")) * percent
+        # one of the two is out of the hub's component; if both are, the pair is made once
+        return (F.col("component1") != F.col("component2")) & near & enough & (~F.col("out2") | (F.col("id1") < F.col("id2")))
+
+    own_out = own.withColumn("out", F.col("component") != F.col("ch"))
+    values = own_out.select("h", "id", F.explode("_more").alias("value"), "component")
+    counts = values.groupBy("h", "value").agg(F.count(F.lit(1)).alias("f"), F.min("component").alias("_x"), F.max("component").alias("_y")).filter("_x != _y")
+    ranked = values.join(counts.select("h", "value", "f"), ["h", "value"]).groupBy("h", "id").agg(F.array_sort(F.collect_list(F.struct("f", "value"))).alias("_v"))
+    ranked = ranked.join(own_out.drop("_more"), ["h", "id"]).select("h", "id", "n", "component", "i", "out", F.size("_v").alias("_s"), F.posexplode("_v").alias("_p", "_x"))
+    ranked = common.written(ranked.select("h", F.col("_x.value").alias("value"), "id", "n", "component", "i", "out", (F.col("_s") - F.col("_p")).alias("rest")), "ranked")
+    u, w = side(ranked.filter("out"), "1", "h", "value", F.col("rest").alias("rest1")), side(ranked, "2", "h", "value", F.col("rest").alias("rest2"))
+    sharing = u.join(w, ["h", "value"]).filter(fits(F.least("rest1", "rest2")))
+
+    band = lambda n: F.floor(F.log(n.cast("double")) / math.log(BAND)).cast("int")
+    most, fewest = F.floor(F.col("i") * (100 + percent) / percent) - F.col("n"), F.greatest(F.lit(1), F.floor(F.col("n") * percent / 100))
+    low = own_out.drop("_more").filter("out").filter(most >= fewest).withColumn("band", F.explode(F.sequence(band(fewest), band(most))))
+    bounded = side(low, "1", "h", "band").join(side(own_out.withColumn("band", band(F.col("n"))), "2", "h", "band"), ["h", "band"]).filter(fits(F.lit(0)))
+
+    pairs = sharing.select("id1", "id2").unionByName(bounded.select("id1", "id2"))
+    pairs = pairs.select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")).distinct()
+    out = common.written(direct.unionByName(verified(pairs, sets, sketches, percent)), "links")
+    common.dropped(own, ranked)
+    return out
+
+
 def op1(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), size=2)

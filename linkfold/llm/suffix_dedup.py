@@ -11,8 +11,10 @@ from . import common, windows
 
 #: Bytes of a window; bytes that suffixes must share to be compared.
 WIDTH, GRAM = 200, 48
-#: Suffixes with one beginning, of which more than so many differ, are compared window by window instead of by pairs.
-PAIRS = 64
+#: Up to so many suffixes with one beginning are compared by pairs, more by a sweep: the same windows are found.
+PAIRS = 32
+#: Different suffixes with one beginning that one task takes; what has more is first split by its next bytes.
+KINDS = 1 << 14
 #: Suffixes of a sorted run, and about the number that one task merges.
 RUN, MERGE = 1 << 15, 1 << 15
 
@@ -109,6 +111,8 @@ def group_windows(lefts: list[bytes], shares: list[int], bounds: list[tuple[int,
     bytes to the left and width - d from the anchor on.
     """
     found: list[list[tuple[int, int]]] = [[] for _ in lefts]
+    if len(lefts) > PAIRS:
+        return _sweep(lefts, shares, bounds, width, found)
     for i in range(len(lefts)):
         right = 1 << 60
         for j in range(i + 1, len(lefts)):
@@ -120,7 +124,22 @@ def group_windows(lefts: list[bytes], shares: list[int], bounds: list[tuple[int,
     return found
 
 
-def by_pairs(candidates: DataFrame, docs: DataFrame, width: int, gram: int) -> DataFrame:
+def _sweep(lefts: list[bytes], shares: list[int], bounds: list[tuple[int, int]], width: int, found: list[list[tuple[int, int]]]) -> list[list[tuple[int, int]]]:
+    """group_windows() for many suffixes: for each distance, those alike on both sides are neighbours in both orders."""
+    k = len(lefts)
+    order = sorted(range(k), key=lefts.__getitem__)
+    left = np.array([0] + [lcp(lefts[a], lefts[b]) for a, b in zip(order, order[1:], strict=False)])
+    right, limits, rank = np.array(shares), np.array(bounds), np.empty(k, np.int64)
+    for d in range(int(limits[:, 0].min()), int(limits[:, 1].max()) + 1):
+        rank[order] = np.cumsum(left < d)
+        has = np.flatnonzero((limits[:, 0] <= d) & (d <= limits[:, 1]))
+        _, at, many = np.unique((np.cumsum(right < width - d) * (k + 1) + rank)[has], return_inverse=True, return_counts=True)
+        for i in has[many[at] > 1].tolist():
+            found[i].append((d, d))
+    return found
+
+
+def by_merge(candidates: DataFrame, docs: DataFrame, width: int, gram: int) -> DataFrame:
     """The windows (o, key, first, last) of candidates with n = 1 that stand at another candidate too.
 
     Each task sorts the suffixes that start at the anchors of its documents into runs and front-codes them; the runs are
@@ -222,14 +241,15 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, texts: b
     places. A null doc_id is an id like any other. Other columns are dropped; an empty table gives an empty one.
 
     Not every suffix is sorted, but those at the anchors of windows (see windows) that stand at more than one place and
-    whose surroundings differ; where all is equal around them, all windows are. Beginnings with more than PAIRS different
-    surroundings are compared window by window, in an exchange that no common beginning can fill.
+    whose surroundings differ; where all is equal around them, all windows are. All suffixes that share their first `gram`
+    bytes meet in one task. A beginning with more than KINDS different surroundings is split by longer ones: by those
+    of blocks of its windows, then of single windows, which are counted and not gathered, so that none can fill a task.
     """
     keyed = windows.keyed(docs)
     found = common.written(windows.repeated(windows.all_stretches(keyed, "bytes", width, gram)), "repeated")
     whole, candidates = windows.judged_stretches(found)
-    few = by_pairs(candidates.filter(F.col("kinds") <= PAIRS), keyed, width, gram)
-    many = windows.by_window(candidates.filter(F.col("kinds") > PAIRS), keyed, "bytes", width, gram)
+    few = by_merge(candidates.filter(F.col("kinds") <= KINDS), keyed, width, gram)
+    many = windows.by_window(candidates.filter(F.col("kinds") > KINDS), keyed, "bytes", width, gram)
     out = windows.without(keyed, whole.unionByName(few).unionByName(many), "bytes", width, texts)
     return out.withColumnRenamed("n_tokens", "n_bytes")
 

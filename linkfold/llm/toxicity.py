@@ -58,13 +58,12 @@ def features(column, wanted: np.ndarray | None = None):
             yield lo, hi - lo, np.zeros(0, np.int64), np.zeros(0, np.uint64)
             continue
         starts, stops, _ = common.words(part, at, letters)
-        sums = common.prefix_sums(common.byte_values()[part])
         row = np.searchsorted(at, starts, side="right") - 1
-        rows, hashes = [row], [common.span_hash(sums, starts, stops)]
+        rows, hashes = [row], [common.word_hashes(part, starts, stops)]
         for n in BEGINNINGS:
             longer = np.flatnonzero(stops - starts > n)
             rows.append(row[longer])
-            hashes.append(common.span_hash(sums, starts[longer], starts[longer] + n))
+            hashes.append(common.word_hashes(part, starts[longer], starts[longer] + n))
         row, found = np.concatenate(rows), np.concatenate(hashes)
         if wanted is not None:
             near = np.flatnonzero(gate[found >> np.uint64(48)])

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from . import common
 
 #: Tokens that are looked at together; longer documents go by in slices of so many windows.
-SLICE = 1 << 20
+SLICE = 1 << 18
 _LOW = np.uint64((1 << 22) - 1)
 
 
@@ -45,10 +45,10 @@ def stretches(values: np.ndarray, offsets: np.ndarray, width: int, gram: int):
             if stop - at < width:
                 continue
             bounds = np.clip(offsets[lo : hi + 1], at, stop) - at
-            sums = common.prefix_sums(values[at:stop])
+            spans = common.Spans(_hashed(values[at:stop]))
             n = stop - at
             grams = np.arange(n - gram + 1)
-            h = common.span_hash(sums, grams, grams + gram)
+            h = spans.fixed(gram)
             m = least((h & ~_LOW) | grams.astype(np.uint64), width - gram + 1) & _LOW
             row = np.searchsorted(bounds, np.arange(n - width + 1), side="right") - 1
             inside = np.flatnonzero(np.arange(width, n + 1) <= bounds[row + 1])
@@ -61,20 +61,16 @@ def stretches(values: np.ndarray, offsets: np.ndarray, width: int, gram: int):
             b = np.append(a[1:], len(inside)) - 1
             first, last, anchor, row = inside[a], inside[b], anchor[a], row[inside[a]]
             back = at - offsets[lo + row]
-            yield lo + row, first + back, last + back, anchor + back, h[anchor], common.span_hash(sums, first, last + width)
+            yield lo + row, first + back, last + back, anchor + back, h[anchor], spans.spans(first, last + width)
 
 
-def window_hashes(values: np.ndarray, first: np.ndarray, last: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For stretches of one row: index of the stretch, place and hash of each of their windows."""
-    sums = common.prefix_sums(values)
-    n = last - first + 1
-    of = np.repeat(np.arange(len(n)), n)
-    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[of]
-    return of, at, common.span_hash(sums, at, at + width)
+def _hashed(values: np.ndarray) -> np.ndarray:
+    """Tokens as 64-bit values: bytes are looked up, words are hashed already."""
+    return common.byte_values()[values] if values.dtype == np.uint8 else values
 
 
 def byte_tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return common.byte_values()[data[offsets[0] : offsets[-1]]], offsets - offsets[0]
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
 def word_tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,30 +167,44 @@ def by_window(candidates: DataFrame, docs: DataFrame, kind: str, width: int, gra
     schema = T.StructType([*_NAME, *_STRETCH[:2], *_STRETCH[3:], T.StructField("n", T.LongType()), T.StructField("windows", T.ArrayType(T.LongType()))])
 
     def run(batches):
-        import pyarrow as pa
-
         for batch in batches:
             data, offsets = common.text_buffers(batch.column("text"))
-            for i, found in enumerate(batch.column("found").to_pylist()):
-                values, _ = TOKENS[kind](data, offsets[i : i + 2])
-                col = {k: np.array([x[k] for x in found], np.int64) for k in ("first", "last", "anchor", "gram", "n")}
-                # blocks number far // step to near // step of each stretch
-                near, far = (col["anchor"] - col["last"]) // step, (col["anchor"] - col["first"]) // step
-                many = far - near + 1
-                of = np.repeat(np.arange(len(many)), many)
-                block = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + near[of]
-                anchor = col["anchor"][of]
-                first, last = np.maximum(col["first"][of], anchor - block * step - step + 1), np.minimum(col["last"][of], anchor - block * step)
-                sums = common.prefix_sums(values)
-                core = common.span_hash(sums, anchor - block * step, anchor - block * step - step + 1 + width)
-                group = common.mix(col["gram"][of].view(np.uint64) ^ common.mix(core + block.astype(np.uint64)))
-                whole = common.mix(common.span_hash(sums, first, last + width) ^ common.mix((anchor - last).astype(np.uint64)))
-                size = last - first + 1
-                w, at, h = window_hashes(values, first, last, width)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32)), pa.array(h.view(np.int64)))
-                take = pa.array(np.full(len(of), i))
-                out = [batch.column("o").take(take), batch.column("key").take(take), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), pa.array(group.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(col["n"][of]), lists]
-                yield pa.RecordBatch.from_arrays(out, names=schema.names)
+            found = batch.column("found")
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(found.offsets.to_numpy()))
+            every = {c: found.flatten().field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("first", "last", "anchor", "gram", "n")}
+            for lo, hi in common.chunks(offsets, 8 * SLICE):
+                values, starts = TOKENS[kind](data, offsets[lo : hi + 1])
+                a, b = np.searchsorted(owner, [lo, hi])
+                ends = np.cumsum(every["last"][a:b] - every["first"][a:b] + width)
+                while a < b:  # so many stretches that their tokens are one slice
+                    to = a + max(1, int(np.searchsorted(ends, (ends[0] - width) + SLICE)))
+                    yield blocks_of(batch, values, starts, owner[a:to], lo, {c: x[a:to] for c, x in every.items()})
+                    ends, a = ends[to - a :], to
+
+    def blocks_of(batch, values, starts, owner, lo, col):
+        import pyarrow as pa
+
+        size = col["last"] - col["first"] + width
+        base = np.cumsum(size) - size  # where each stretch starts among the tokens of this slice
+        spans = common.Spans(_hashed(values[np.arange(size.sum()) + np.repeat(starts[owner - lo] + col["first"] - base, size)]))
+        # blocks number far // step to near // step of each stretch
+        near, far = (col["anchor"] - col["last"]) // step, (col["anchor"] - col["first"]) // step
+        many = far - near + 1
+        of = np.repeat(np.arange(len(many)), many)
+        block = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + near[of]
+        anchor, shift = col["anchor"][of], (base - col["first"])[of]
+        first, last = np.maximum(col["first"][of], anchor - block * step - step + 1), np.minimum(col["last"][of], anchor - block * step)
+        core = spans.spans(anchor - block * step + shift, anchor - block * step - step + 1 + width + shift)
+        group = common.pair(common.pair(col["gram"][of].view(np.uint64), core), block.astype(np.uint64))
+        whole = common.pair(spans.spans(first + shift, last + width + shift), (anchor - last).astype(np.uint64))
+        count = last - first + 1
+        w = np.repeat(np.arange(len(count)), count)
+        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + (first + shift)[w]
+        h = spans.spans(at, at + width) if len(at) else np.zeros(0, np.uint64)
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(count))).astype(np.int32)), pa.array(h.view(np.int64)))
+        take = pa.array(owner[of])
+        out = [batch.column("o").take(take), batch.column("key").take(take), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), pa.array(group.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(col["n"][of]), lists]
+        return pa.RecordBatch.from_arrays(out, names=schema.names)
 
     blocks = common.written(located.mapInArrow(run, schema), "blocks")
     whole, mixed = judged(blocks, ["o", "key", "first", "windows"], F.col("n"))

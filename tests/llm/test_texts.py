@@ -228,9 +228,10 @@ def test_substring_dedup_equals_plain(spark, width, gram, batches):
         assert out[i].kept_sha256 == hashlib.sha256(kept).hexdigest()
 
 
-@pytest.mark.parametrize(("width", "gram", "pairs"), [(200, 48, 64), (20, 6, 64), (20, 6, 3), (8, 8, 64)])
-def test_suffix_dedup_equals_plain(spark, monkeypatch, width, gram, pairs):
+@pytest.mark.parametrize(("width", "gram", "pairs", "kinds"), [(200, 48, 64, 64), (20, 6, 64, 64), (20, 6, 2, 64), (20, 6, 2, 3), (8, 8, 64, 64)])
+def test_suffix_dedup_equals_plain(spark, monkeypatch, width, gram, pairs, kinds):
     monkeypatch.setattr(suffix_dedup, "PAIRS", pairs)
+    monkeypatch.setattr(suffix_dedup, "KINDS", kinds)
     monkeypatch.setattr(suffix_dedup, "RUN", 50)
     data = texts(12)
     out = rows(suffix_dedup.deduplicated(documents(spark, [(i, t, None, None, None) for i, t in enumerate(data)]), width, gram))
