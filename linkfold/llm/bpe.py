@@ -14,31 +14,39 @@ from . import common
 #: The vocabulary used where none is named.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Texts up to so many characters are leaves of the tree.
-LEAF = 1 << 14
+LEAF = 256
 #: Bytes of text, about, whose tokens are held together.
 HELD = 1 << 22
-#: First width, in characters, of the window that is encoded again on either side of a join.
+#: First width, in characters, of the window that is searched on either side of a join for a place to end at.
 WINDOW = 32
+#: Places at which public_tokenizers.PATTERN parts two pieces whatever stands around: after a letter what is none, after a
+#: digit what is none, and after any other character but white space a digit, white space or (unless it is an apostrophe) a
+#: letter. No alternative of the pattern has such a pair in it, and none looks past such an end.
+CUT = r"(?<=\p{L})(?=\P{L})|(?<=\p{N})(?=\P{N})|(?<=[^\s\p{L}\p{N}])(?=[\s\p{N}])|(?<=[^\s\p{L}\p{N}'])(?=\p{L})"
 
 
 class Codec:
     """Encodes and decodes with the ranks of one vocabulary file.
 
-    A node of the tree is (text, ids). combine() is associative: the ids of a joined node depend on its text alone, so
-    halves can be reduced in any grouping. Where two nodes meet, a window on both sides is encoded again. It grows until
-    each side of it is a place where the splitting pattern must part two pieces whatever stands beyond: a character that
-    is no white space, then a space. No alternative of the pattern holds a space after another character, and none looks
-    further than one character past such an end, so the tokens outside the window stand in the encoding of the whole.
-    A side without such a place takes the window to the end of its text.
+    Every text longer than a leaf is encoded by halves, which are encoded by halves again. join() is associative: the ids of
+    a joined node depend on its text alone, so halves can be reduced in any grouping. Where two nodes meet, a window on both
+    sides is encoded again. Each side of it grows until it ends at a cut: a place where the splitting pattern must part two
+    pieces whatever stands beyond. Tokens do not cross pieces, so those outside the window stand in the encoding of the
+    whole. A side without a cut takes the window to the end of its text; where two nodes meet at a cut there is none.
+
+    A pattern of one's own needs its cuts, as a regular expression; without them every text is one leaf.
     """
 
-    def __init__(self, path: str | None = None, pattern: str | None = None, leaf: int = LEAF, window: int = WINDOW):
+    def __init__(self, path: str | None = None, pattern: str | None = None, leaf: int = LEAF, window: int = WINDOW, cut: str | None = None):
         import public_tokenizers
+        import regex
         import tiktoken
 
         with open(path or public_tokenizers.path(VOCABULARY), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.leaf, self.window = max(2, leaf), window
+        self.leaf, self.window = max(1, leaf), window
+        cut = cut or (CUT if pattern in (None, public_tokenizers.PATTERN) else None)
+        self.cut = regex.compile(cut) if cut else None
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern or public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.bytes = [b""] * (max(ranks.values()) + 1)
         for k, v in ranks.items():
@@ -47,45 +55,47 @@ class Codec:
         self.names = [str(i) for i in range(len(self.bytes))]
 
     def encode(self, text: str) -> list[int]:
-        if len(text) <= self.leaf:
-            return self.encoding.encode_ordinary(text)
-        nodes = [(text[i : i + self.leaf], None) for i in range(0, len(text), self.leaf)]
-        nodes = [(t, self.encoding.encode_ordinary(t)) for t, _ in nodes]
-        while len(nodes) > 1:  # one level of the tree
-            nodes = [self.combine(nodes[i], nodes[i + 1]) if i + 1 < len(nodes) else nodes[i] for i in range(0, len(nodes), 2)]
-        return nodes[0][1]
+        return self._node(text, 0, len(text))
+
+    def _node(self, text: str, start: int, stop: int) -> list[int]:
+        if stop - start <= self.leaf or self.cut is None:
+            return self.encoding.encode_ordinary(text[start:stop])
+        half = (start + stop) // 2
+        return self._join(text, start, half, stop, self._node(text, start, half), self._node(text, half, stop))
 
     def combine(self, left: tuple[str, list[int]], right: tuple[str, list[int]]) -> tuple[str, list[int]]:
-        """The node of both texts, one after the other."""
+        """The node (text, ids) of both texts, one after the other."""
         (a, ai), (b, bi) = left, right
         if not a or not b:
             return left if not b else right
-        lo, hi = self._safe_left(a), self._safe_right(b)
-        head = self._tokens(reversed(ai), len(a[lo:].encode()))
-        tail = self._tokens(bi, len(b[:hi].encode()))
-        middle = self.encoding.encode_ordinary(a[lo:] + b[:hi])
-        return a + b, ai[: len(ai) - head] + middle + bi[tail:]
-
-    def _safe_left(self, text: str) -> int:
-        """The last place before which pieces surely end; 0 if there is none."""
+        return a + b, self._join(a + b, 0, len(a), len(a) + len(b), ai, bi)
+
+    def _join(self, text: str, start: int, half: int, stop: int, left: list[int], right: list[int]) -> list[int]:
+        """The ids of start:stop from those of both its halves."""
+        if self.cut is not None and self.cut.match(text, half, stop):
+            return left + right
+        lo, hi = self._last_cut(text, start, half), self._first_cut(text, half, stop)
+        head = self._tokens(reversed(left), len(text[lo:half].encode()))
+        tail = self._tokens(right, len(text[half:hi].encode()))
+        return left[: len(left) - head] + self.encoding.encode_ordinary(text[lo:hi]) + right[tail:]
+
+    def _last_cut(self, text: str, start: int, stop: int) -> int:
+        """The last cut within start:stop; its start if there is none."""
         width = self.window
-        while True:
-            lo = max(0, len(text) - width)
-            at = text.rfind(" ", max(lo, 1))
-            while at > 0 and text[at - 1].isspace():
-                at = text.rfind(" ", max(lo, 1), at)
-            if at > 0:
+        while self.cut is not None and start + 1 < stop:
+            lo = max(start + 1, stop - width)
+            at = start
+            for found in self.cut.finditer(text, lo, stop):
+                at = found.start()
+            if at > start or lo == start + 1:
                 return at
-            if lo == 0:
-                return 0
             width *= 2
+        return start
 
-    def _safe_right(self, text: str) -> int:
-        """The first place after which pieces surely start; the length if there is none."""
-        at = text.find(" ", 1)
-        while at > 0 and text[at - 1].isspace():
-            at = text.find(" ", at + 1)
-        return at if at > 0 else len(text)
+    def _first_cut(self, text: str, start: int, stop: int) -> int:
+        """The first cut within start:stop; its end if there is none."""
+        found = self.cut.search(text, start + 1, stop) if self.cut is not None else None
+        return found.start() if found else stop
 
     def _tokens(self, ids, size: int) -> int:
         """The number of ids, from the first, whose bytes make up size."""
@@ -101,29 +111,29 @@ class Codec:
 
     def decode(self, ids: list[int]) -> bytes:
         """The bytes of the ids, concatenated up the tree."""
-        level = [b"".join([self.bytes[i] for i in ids[k : k + self.leaf]]) for k in range(0, len(ids), self.leaf)] or [b""]
+        level = [b"".join([self.bytes[i] for i in ids[k : k + 1024]]) for k in range(0, len(ids), 1024)] or [b""]
         while len(level) > 1:
             level = [b"".join(level[i : i + 2]) for i in range(0, len(level), 2)]
         return level[0]
 
 
 @functools.lru_cache(4)
-def codec(path: str | None = None, pattern: str | None = None, leaf: int = LEAF, window: int = WINDOW) -> Codec:
-    return Codec(path, pattern, leaf, window)
+def codec(path: str | None = None, pattern: str | None = None, leaf: int = LEAF, window: int = WINDOW, cut: str | None = None) -> Codec:
+    return Codec(path, pattern, leaf, window, cut)
 
 
-def bpe(docs: DataFrame, path: str | None = None, pattern: str | None = None, leaf: int = LEAF, window: int = WINDOW, ids: bool = True, decoded: bool = True) -> DataFrame:
+def bpe(docs: DataFrame, path: str | None = None, pattern: str | None = None, leaf: int = LEAF, window: int = WINDOW, ids: bool = True, decoded: bool = True, cut: str | None = None) -> DataFrame:
     """Encode docs.text; adds n_tokens, ids_sha256, decoded_sha256 and, with ids and decoded, the token ids and the decoded
     bytes themselves.
 
-    Columns besides text stay as they are (of the same name as a new one: the new one replaces it). A null text counts as
-    empty: no tokens, digests of the empty string. Repeated rows are encoded each. An empty table gives an empty table.
-    The path of the vocabulary must be readable on every executor.
+    Columns besides text stay as they are (of the same name as a new one, in any case: the new one replaces it). A null text
+    counts as empty: no tokens, digests of the empty string. Repeated rows are encoded each. An empty table gives an empty
+    table. A text is held whole, with its ids, by one task. The path of the vocabulary must be readable on every executor.
     """
     new = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
     new += [T.StructField("ids", T.ArrayType(T.IntegerType()))] * ids + [T.StructField("decoded", T.BinaryType())] * decoded
     names = [f.name for f in new]
-    kept = [f for f in docs.schema.fields if f.name not in names and f.name != "text"]
+    kept = [f for f in docs.schema.fields if f.name.lower() not in [*names, "text"]]
     schema = T.StructType(kept + new)
 
     def encoded(batch):
@@ -131,7 +141,7 @@ def bpe(docs: DataFrame, path: str | None = None, pattern: str | None = None, le
 
         import pyarrow as pa
 
-        c = codec(path, pattern, leaf, window)
+        c = codec(path, pattern, leaf, window, cut)
         name = c.names.__getitem__
         counts, a, b, all_ids, all_bytes = [], [], [], [np.zeros(0, np.int32)], []
         for text in batch.column("text"):

@@ -191,7 +191,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.n
     # the eight bytes from every place on
     padded = np.concatenate((data, np.zeros(8, np.uint8)))
     eight = np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))
-    keep = np.concatenate(([0], (np.uint64(1) << np.arange(8, 64, 8, dtype=np.uint64)) - np.uint64(1), [0xFFFFFFFFFFFFFFFF])).astype(np.uint64)
+    keep = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
     live, at = np.flatnonzero(n <= _LONG), 0
     while len(live):
         left = n[live] - at

@@ -84,7 +84,7 @@ def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     column of the same name as a new one is replaced); repeated rows are counted each; an empty table gives an empty table.
     """
     new = [T.StructField("n_words", T.LongType()), T.StructField("n_tokens", T.LongType())]
-    kept = [f for f in docs.schema.fields if f.name not in ("n_words", "n_tokens", "text")]
+    kept = [f for f in docs.schema.fields if f.name.lower() not in ("n_words", "n_tokens", "text")]
     schema = T.StructType(kept + new)
 
     def run(batches):

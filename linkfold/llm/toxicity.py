@@ -210,7 +210,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     import pyarrow as pa
 
-    kept = [f for f in docs.schema.fields if f.name not in ("score", "predicted")]
+    kept = [f for f in docs.schema.fields if f.name.lower() not in ("score", "predicted")]
     schema = T.StructType([*kept, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def run(batches):

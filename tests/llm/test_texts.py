@@ -22,7 +22,7 @@ def rows(df, key="doc_id"):
 
 
 def test_bpe_equals_plain_encoding(spark):
-    c = bpe.codec(None, None, 7, 3)
+    c = bpe.codec(None, None, 1, 3)
     r = random.Random(3)
     cases = [t or "" for t in texts()] + ["".join(r.choice(" ab'st\n\té1!日  🙂") for _ in range(r.randint(0, 90))) for _ in range(800)]
     for text in cases:
