@@ -21,6 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share. Only where the session names none (tests) a local one is set."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="linkfold-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -40,6 +42,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+class Bucketed:
+    """A table of the session's warehouse that is dealt and sorted by a key, so that joins by it move the other side alone."""
+
+    def __init__(self, df: DataFrame, key: str):
+        self.spark, self.name = df.sparkSession, f"linkfold_{uuid.uuid4().hex}"
+        n = parts(self.spark)
+        df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("compression", "zstd").saveAsTable(self.name, format="parquet")
+        self.table = self.spark.table(self.name)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
 def dropped(*tables: DataFrame | None) -> None:
     """Remove tables of written() that nothing reads any more."""
     for df in tables:

@@ -16,6 +16,8 @@ from .vectors import finite, packed
 
 #: Subspaces, and vectors of a pack.
 BLOCKS, PACK = 4, 2048
+#: Candidates that are verified together.
+SLICE = 1 << 16
 #: What distances may be off by rounding.
 MARGIN = 1e-6
 FOUND = "a struct<o:bigint,h:bigint>, b struct<o:bigint,h:bigint>, others long"
@@ -132,12 +134,16 @@ def _links(nodes: DataFrame, dim: int, cosine: float, blocks: int, pack: int) ->
                 u, w = xr[:, i:j].astype(np.float32), yr[:, i:j].astype(np.float32)
                 near = (u @ w.T) * 2 >= ((u * u).sum(1)[:, None] + (w * w).sum(1)[None, :]) - np.float32(budget[block] + 1e-5)
                 p, q = np.nonzero(np.triu(near, 1) if same else near)
-                d = xr[p] - yr[q]
-                d *= d
-                by = np.stack([d[:, a:b].sum(1) <= budget[k] for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))], 1) if len(p) else np.zeros((0, blocks), bool)
-                own = by[:, block] & ~by[:, :block].any(1)
-                p, q = p[own], q[own]
-                good = np.einsum("ij,ij->i", x[p], y[q]) >= cosine
+                found = []
+                for at in range(0, len(p), SLICE):  # a pair of packs of near copies has millions of candidates
+                    u, w = p[at : at + SLICE], q[at : at + SLICE]
+                    d = xr[u] - yr[w]
+                    d *= d
+                    by = np.stack([d[:, a:b].sum(1) <= budget[k] for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))], 1)
+                    own = by[:, block] & ~by[:, :block].any(1)
+                    u, w = u[own], w[own]
+                    found.append(at + np.flatnonzero(own)[np.einsum("ij,ij->i", x[u], y[w]) >= cosine])
+                good = np.concatenate(found) if found else np.zeros(0, np.int64)
                 yield _summed(ids, ids2, p[good], q[good], same)
 
     return pairs.select("block", "at", "cell2", "chunk", "chunk2", "ids", "data", "ids2", "data2").mapInArrow(verify, FOUND)

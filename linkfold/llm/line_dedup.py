@@ -9,49 +9,47 @@ from .common import SPACES, written
 
 #: Lines of the shortest run that counts, and characters of a line that counts as a run by itself.
 LINES, LONG = 3, 60
-#: Rows from which on a key is sent to the rows that have it, and not they to one place.
-MANY = 1 << 12
 
 
-def _lines(docs: DataFrame, long: int, words: int | None) -> DataFrame:
-    """A row for each line: its document, number, two hashes, whether it is long, and its words up to `words`."""
-    d = docs.select("_doc", "_text", F.posexplode(F.split("text", "\n")).alias("at", "_line"))
-    n = F.lit(0)
+def _fingerprints(docs: DataFrame, length: int, long: int, words: int | None) -> DataFrame:
+    """(_doc, _text, fingerprint, runs) of docs(_doc, _text, text): a row for each line that is selected.
+
+    Every run of lines that is to be judged selects its line of least hash, the first of equal ones. So equal runs select
+    the same line of them, wherever they stand. runs are those that selected this line: it, and the lines that it is
+    extended by to both sides. Each has its first line, number of lines, and two hashes of its content.
+    """
+    count = F.lit(0)
     if words is not None:
-        n = F.least(F.size(F.filter(F.split("_line", f"[{''.join(f'\\x{b:02x}' for b in SPACES)}]+"), lambda x: x != "")), F.lit(words))
+        spaces = f"[{''.join(f'\\x{b:02x}' for b in SPACES)}]+"
+        count = lambda x: F.least(F.size(F.filter(F.split(x, spaces), lambda w: w != "")), F.lit(words))
     # of xxhash64 alone, another seed would often not part lines that one seed does not
-    hashes = F.xxhash64("_line").alias("h"), F.xxhash64(F.sha2("_line", 256)).alias("g")
-    return d.select("_doc", "_text", "at", *hashes, (F.length("_line") >= long).alias("long"), n.alias("words"))
-
-
-def _runs(lines: DataFrame, length: int, words: int | None) -> DataFrame:
-    """A row for each run to be judged of rows of _lines(): its document, first line, number of lines, and two hashes."""
-    docs = lines.groupBy("_doc", "_text").agg(F.array_sort(F.collect_set(F.struct("at", "h", "g", "long", "words"))).alias("_l"))
-
-    def of(n: int):
-        def run(i):
-            part = F.slice("_l", i, n)
-            whole = F.element_at(part, -1)["at"] == part[0]["at"] + n - 1
-            counts = F.lit(n == length)
-            if n == 1:
-                counts = counts | part[0]["long"]
-            if words is not None:
-                counts = counts | (F.aggregate(part["words"], F.lit(0), lambda a, x: a + x) >= words)
-            hashes = [F.xxhash64(F.lit(n), part[c]).alias(name) for c, name in (("h", "run"), ("g", "run2"))]
-            return F.when(whole & counts, F.struct(part[0]["at"].alias("at"), F.lit(n).alias("n"), *hashes))
-
-        found = F.when(F.size("_l") >= n, F.transform(F.sequence(F.lit(1), F.size("_l") - n + 1), run))
-        return F.filter(F.coalesce(found, F.array()), lambda x: x.isNotNull())
-
-    sizes = range(1, length + 1) if words is not None else sorted({1, length})
-    return docs.select("_doc", "_text", F.inline(F.concat(*[of(n) for n in sizes])))
-
-
-def _joined(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
-    """rows joined with found(keys, _n, ...), where _n tells how many rows have these keys."""
-    many, few = found.filter(F.col("_n") > MANY), found.filter(F.col("_n") <= MANY)
-    rest = rows.join(F.broadcast(many.select(*keys)), keys, "left_anti").join(few, keys)
-    return rows.join(F.broadcast(many), keys).unionByName(rest)
+    line = lambda x: F.struct(F.xxhash64(x).alias("h"), F.xxhash64(F.sha2(x, 256)).alias("g"), (F.length(x) >= long).alias("long"), (count(x) if words is not None else count).alias("words"))
+    d = docs.filter("text is not null").select("_doc", "_text", F.transform(F.split("text", "\n"), line).alias("_l"))
+
+    def runs(x, p):
+        """Of the line x at p (from 0): the runs that it is the least line of."""
+        found = []
+        for n in range(1, length + 1) if words is not None else sorted({1, length}):
+            for back in range(n):
+                start = p - back
+                part = F.slice("_l", start + 1, n)
+                least = F.lit(True)
+                for k in range(n):
+                    if k != back:
+                        other = F.get("_l", start + k)["h"]
+                        least = least & ((other > x["h"]) if k < back else (other >= x["h"]))
+                counts = F.lit(n == length)
+                if n == 1:
+                    counts = counts | x["long"]
+                if words is not None:
+                    counts = counts | (F.aggregate(part["words"], F.lit(0), lambda a, y: a + y) >= words)
+                whole = (start >= 0) & (start + n <= F.size("_l"))
+                hashes = [F.xxhash64(F.lit(n), part[c]).alias(name) for c, name in (("h", "run"), ("g", "run2"))]
+                found.append(F.when(whole & least & counts, F.struct(start.alias("at"), F.lit(n).alias("n"), *hashes)))
+        return F.filter(F.array(*found), lambda r: r.isNotNull())
+
+    every = d.select("_doc", "_text", F.inline(F.transform("_l", lambda x, p: F.struct(x["h"].alias("fingerprint"), runs(x, p).alias("runs")))))
+    return every.filter(F.size("runs") > 0)
 
 
 def deduplicated(docs: DataFrame, lines: int = LINES, long: int = LONG, words: int | None = None) -> DataFrame:
@@ -61,30 +59,34 @@ def deduplicated(docs: DataFrame, lines: int = LINES, long: int = LONG, words: i
     well if they have that many words (parted by white space) or more together; with None (the rule of OP2_SQL), repeats
     of one or two shorter lines stay. A run that also stands earlier (in a document of a smaller doc_id, or further up in
     the same one) is deleted where it stands later; longer repeats go whole, as the runs that they are made of. Where runs
-    stand is judged on the input. Lines that stand nowhere else are dropped first, as no repeated run has one; what follows
-    each other of the rest is joined to runs, whose first place is found by an aggregate. No pairs of places are made, so
-    a line of a third of all documents is one group of partial aggregates.
+    stand is judged on the input.
+
+    Winnowing selects fingerprints (see _fingerprints()). Those that stand once are dropped. The places of the others are
+    extended to both sides, to the runs that selected them, and places of equal runs meet in an aggregate that finds the
+    first one; no pairs of places are made, so a line of a third of all documents is one group of partial aggregates.
 
     A null text stays null, with 0 lines. An empty text is one empty line. A text whose lines all go becomes empty. Runs
-    are equal if two 64-bit hashes are, of which one is made of SHA-256 of the lines. A null doc_id comes last. Rows of the same doc_id are one place
-    for the order: the copies of a run at the same line of them all stay or all go. Columns named like a new one are
-    replaced; an empty table gives one.
+    are equal if two 64-bit hashes are, of which one is made of SHA-256 of the lines. A null doc_id comes last. Rows of the
+    same doc_id and text are one place: the copies of a run at the same line of them all stay or all go. A text is one row,
+    of any length. Columns named like a new one are replaced, in any case; others may have any name; an empty table gives
+    one.
     """
     kept = docs.drop("n_lines", "n_removed")
-    keyed = kept.withColumn("_doc", F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1))).withColumn("_text", F.xxhash64("text"))
-    places = _lines(keyed.select("_doc", "_text", "text"), long, words)
-    repeated = written(places.groupBy("h").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "lines")
-    near = written(_runs(_joined(places, repeated, ["h"]), lines, words), "line-runs")
-    first = near.groupBy("run", "run2").agg(F.min(F.struct("_doc", "at")).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    later = _joined(near, written(first, "first-runs"), ["run", "run2"]).filter(F.struct("_doc", "at") > F.col("_first"))
-    gone = later.select("_doc", "_text", "at", "n").distinct().groupBy(F.col("_doc").alias("_d"), F.col("_text").alias("_t"))
+    doc = F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1))
+    keyed = kept.select(F.struct("*").alias("_row"), doc.alias("_doc"), F.xxhash64("text").alias("_text"), F.col("text").alias("_all"))
+    places = _fingerprints(keyed.select("_doc", "_text", F.col("_all").alias("text")), lines, long, words)
+    repeated = written(places.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("fingerprint"), "fingerprints")
+    near = written(places.join(repeated, "fingerprint").select("_doc", "_text", F.inline("runs")), "line-runs")
+    first = near.groupBy("run", "run2").agg(F.min(F.struct("_doc", "at")).alias("_first"), F.count(F.lit(1)).alias("_c")).filter("_c > 1")
+    later = near.join(first, ["run", "run2"]).filter(F.struct("_doc", "at") > F.col("_first"))
+    gone = later.select("_doc", "_text", "at", "n").distinct().groupBy("_doc", "_text")
     gone = gone.agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("at", F.col("at") + F.col("n") - 1)))).alias("_gone"))
-    out = keyed.join(gone, (F.col("_doc") == F.col("_d")) & (F.col("_text") == F.col("_t")), "left")
-    out = out.withColumn("_lines", F.split("text", "\n")).withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).cast("long"))
-    out = out.withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
+    out = keyed.join(gone, (keyed["_doc"] == gone["_doc"]) & keyed["_text"].eqNullSafe(gone["_text"]), "left").select("_row", "_all", "_gone", F.split("_all", "\n").alias("_lines"))
+    n_lines = F.when(F.col("_all").isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_lines")
+    n_removed = F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed")
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    text = F.when(F.col("n_removed") > 0, F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n")).otherwise(F.col("text"))
-    return out.select(*[text.alias("text") if c == "text" else c for c in kept.columns], "n_lines", "n_removed")
+    text = F.when(F.size("_gone") > 0, F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n")).otherwise(F.col("_all"))
+    return out.select(*[text.alias(c) if c.lower() == "text" else F.col("_row")[c].alias(c) for c in kept.columns], n_lines, n_removed)
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

@@ -107,24 +107,45 @@ def _slack(percent: int, sketch: int) -> float:
     return SIGMAS * math.sqrt(share * (1 - share) / sketch)
 
 
+#: Lengths of runs, and the sizes of the sets that are posted by them.
+RUNS = {4: (16, None), 3: (7, 24), 2: (2, 10)}
+
+
 def lists(classes: DataFrame, percent: int, sketch: int = SKETCH) -> DataFrame:
-    """(list, id, n): the inverted lists, of two sets or more, of the retained values that a pair must share one of.
+    """(list, id, n): the inverted lists that a pair must share one of.
 
-    Two sketches of sets that are similar enough overlap in some number of values at least: exactly known where both sets
-    are whole in them, else but for SIGMAS. So if every sketch is put in one order, and only its first values are posted
-    until fewer are left than that number, such sketches meet in a list. The order is by frequency: what many sets retain
-    comes last and is hardly ever posted, unless the sets are near copies of each other.
+    The list of a retained value is split by the values that follow it in the sketch: a run of them names a part. What two
+    sketches overlap in is broken into runs by the values that only one of them has. Let d of the u least values of the
+    union be such: then some run has (u - d) / (d + 1) values or more. For a similarity of 0.8 and whole sets that is four
+    from u = 16 on, three from 6 on, else two, so no pair is lost. For longer sets d is random; no run of four is left with
+    a probability of some 1e-6. (Below 0.8, lists are those of single values.)
+
+    Runs whose values all stand in very many sets join what shares a passage and no more. So a run of a set that is not
+    whole in its sketch must hold a rare value: one of the first of its sketch, in order of frequency, of which two similar
+    sketches share one at least (but for SIGMAS), and usually most.
     """
-    every = classes.select("id", "n", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
+    every = classes.select("id", F.posexplode("sketch").alias("at", "value"))
     counts = every.groupBy("value").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
-    shared = every.join(counts, "value").groupBy("id", "n", "k").agg(F.array_sort(F.collect_list(F.struct("f", "value"))).alias("values"))
-    whole = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
-    part = F.col("k") - math.floor(sketch * (percent / 100 - _slack(percent, sketch))) + 1
-    first = F.when(F.col("n") * 100 <= sketch * percent, whole).otherwise(part).cast("int")
-    # values of one set only come first in the order and make no list
-    many = F.greatest(F.lit(0), first - (F.col("k") - F.size("values")))
-    posts = shared.select("id", "n", F.explode(F.slice("values", 1, many)).alias("x")).select(F.col("x.value").alias("list"), "id", "n")
-    return posts
+    shared = every.join(counts, "value").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("at", "value", "f"))).alias("v"))
+    shared = shared.join(classes.select("id", "n", F.size("sketch").alias("k")), "id")
+    first = F.col("k") - math.floor(sketch * (percent / 100 - _slack(percent, sketch))) + 1
+    many = (first - (F.col("k") - F.size("v"))).cast("int")  # values of one set only come first in the order
+    order = F.array_sort(F.transform("v", lambda x: F.struct(x["f"].alias("f"), x["value"].alias("value"))))
+    whole = F.col("n") * 100 <= sketch * percent
+    shared = shared.select("id", "n", "v", whole.alias("whole"), F.when(many > 0, F.get(order, F.least(many, F.size("v")) - 1)).alias("rare"))
+
+    def runs(r: int, low: int, high: int | None):
+        def run(i):
+            part = F.slice("v", i, r)
+            rare = F.col("whole") | F.exists(part, lambda x: F.coalesce(F.struct(x["f"].alias("f"), x["value"].alias("value")) <= F.col("rare"), F.lit(False)))
+            follow = F.element_at(part, -1)["at"] - F.element_at(part, 1)["at"] == r - 1
+            return F.when(follow & rare, F.xxhash64(F.lit(r), part["value"]))
+
+        sized = (F.col("n") >= low) & (F.col("n") <= high) if high else F.col("n") >= low
+        return F.when(sized & (F.size("v") >= r), F.transform(F.sequence(F.lit(1), F.size("v") - r + 1), run))
+
+    found = [F.coalesce(runs(r, *sizes), F.array().cast("array<bigint>")) for r, sizes in (RUNS if percent >= 80 else {1: (1, None)}).items()]
+    return shared.select("id", "n", F.explode(F.array_distinct(F.concat(*found))).alias("list")).filter("list is not null")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rounds: int = ROUNDS, row: str | None = None) -> DataFrame:
@@ -151,10 +172,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rounds: i
     bounds what two of them can share, but for values that are not in h. So only those pairs are left that share a
     value which h lacks, or that the bound lets pass, not all pairs of a list.
     """
+    spark = docs.sparkSession
     keys = ["doc_id"] if row is None else ["doc_id", row]
-    rows = common.written(signatures(docs, size, keys=tuple(keys)), "signatures")
-    classes = rows.filter("n > 0").groupBy("h1", "h2").agg(F.coalesce(F.min("doc_id"), F.lit(_LAST)).alias("o"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    named = docs.select(*keys, "text", F.xxhash64("text").alias("_name"))
+    rows = common.written(signatures(named, size, keys=(*keys, "_name")), "signatures")
+    place = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("o"), F.col("_name").alias("name"))
+    classes = rows.filter("n > 0").groupBy("h1", "h2").agg(F.min(place).alias("place"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     classes = common.written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    rows, old = common.written(rows.drop("sketch", "_name"), "signatures"), rows
+    common.dropped(old)
     posts = common.written(lists(classes, percent), "posts")
     sizes = posts.groupBy("list").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1")
     posts, old = common.written(posts.join(sizes, "list"), "posts"), posts
@@ -162,15 +188,32 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rounds: i
     fame = posts.groupBy("id").agg(F.sum("_c").alias("fame"))
     posts, old = common.written(posts.drop("_c").join(fame, "id"), "posts"), posts
     common.dropped(old)
-    # the set of a node is computed again from a row of its least doc_id, and told by both hashes
+    # the set of a node is computed again from a text of its least doc_id
     wanted = posts.select("id").distinct().join(classes, "id")
-    places = wanted.select(F.col("o").alias("_o"), F.col("id").alias("_id"), F.col("h1").alias("_h1"), F.col("h2").alias("_h2"))
-    texts = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("_o"), "text")
-    texts = texts.join(places.select("_o").distinct(), "_o", "left_semi")
-    sets = full_sets(texts, size).withColumnsRenamed({"h1": "_h1", "h2": "_h2"}).join(places, ["_o", "_h1", "_h2"]).dropDuplicates(["_id"])
-    sets = common.written(sets.select(F.col("_id").alias("id"), "all"), "sets")
     sketches = common.written(wanted.select("id", "sketch"), "sketches")
+    texts = named.select(F.coalesce("doc_id", F.lit(_LAST)).alias("_o"), "_name", "text")
+    texts = texts.join(wanted.select(F.col("place.o").alias("_o"), F.col("place.name").alias("_name"), "id"), ["_o", "_name"]).dropDuplicates(["_o", "_name"])
+    sets = common.Bucketed(full_sets(texts.select("id", "text"), size).select("id", "all"), "id")
+    classes, old = common.written(classes.select("id", "h1", "h2", F.col("place.o").alias("o")), "classes"), classes
+    common.dropped(old)
+    try:
+        whole, links = _components(posts, sets.table, sketches, percent, rounds)
+    finally:
+        sets.drop()
+    final = classes.join(whole.withColumnRenamed("node", "id"), "id", "left") if whole is not None else classes.withColumn("component", F.col("id"))
+    final = final.withColumn("component", F.coalesce("component", "id"))
+    least = final.groupBy("component").agg(F.min("o").alias("_o"))
+    final = common.written(final.join(least, "component").select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "_o", "component"), "components")
+    common.dropped(classes, posts, sketches, whole, *links)
+    out = rows.select(*keys, "n", "h1", "h2")
+    out = out.join(final, (out.h1 == final["_h1"]) & (out.h2 == final["_h2"]) & (out.n > 0), "left")
+    component = F.when(F.col("n") > 0, F.when(F.col("_o") == _LAST, F.col("doc_id")).otherwise(F.col("_o"))).otherwise(F.col("doc_id"))
+    more = [] if row is None else [row, "component"]
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), *more)
 
+
+def _components(posts: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int, rounds: int) -> tuple[DataFrame | None, list[DataFrame]]:
+    """(node, component) of the nodes that links lead to others, None without links; and the tables of links."""
     links, whole = [], None
     for k in range(rounds + 1):
         p = posts.withColumn("component", F.col("id")) if whole is None else posts.join(whole.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -188,20 +231,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, rounds: i
         links.append(new)
         old, whole = whole, components(_union(links))
         common.dropped(old)
-    final = classes.select("id", "o", "h1", "h2")
-    if whole is not None:
-        final = final.join(whole.withColumnRenamed("node", "id"), "id", "left")
-    else:
-        final = final.withColumn("component", F.col("id"))
-    final = final.withColumn("component", F.coalesce("component", "id"))
-    least = final.groupBy("component").agg(F.min("o").alias("_o"))
-    final = common.written(final.join(least, "component").select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "_o", "component"), "components")
-    common.dropped(classes, posts, sets, sketches, whole, *links)
-    out = rows.select(*keys, "n", "h1", "h2")
-    out = out.join(final, (out.h1 == final["_h1"]) & (out.h2 == final["_h2"]) & (out.n > 0), "left")
-    component = F.when(F.col("n") > 0, F.when(F.col("_o") == _LAST, F.col("doc_id")).otherwise(F.col("_o"))).otherwise(F.col("doc_id"))
-    more = [] if row is None else [row, "component"]
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), *more)
+    return whole, links
 
 
 def _union(tables: list[DataFrame]) -> DataFrame:
@@ -252,7 +282,10 @@ def leftover(met: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int)
     counts = values.groupBy("h", "value").agg(F.count(F.lit(1)).alias("f"), F.min("component").alias("_x"), F.max("component").alias("_y")).filter("_x != _y")
     ranked = values.join(counts.select("h", "value", "f"), ["h", "value"]).groupBy("h", "id").agg(F.array_sort(F.collect_list(F.struct("f", "value"))).alias("_v"))
     ranked = ranked.join(own_out.drop("_more"), ["h", "id"]).select("h", "id", "n", "component", "i", "out", F.size("_v").alias("_s"), F.posexplode("_v").alias("_p", "_x"))
-    ranked = common.written(ranked.select("h", F.col("_x.value").alias("value"), "id", "n", "component", "i", "out", (F.col("_s") - F.col("_p")).alias("rest")), "ranked")
+    # what a node must share at least, beside values of h, with any set that it can be linked with
+    least = F.ceil(F.col("n") * percent / 100 * percent / (100 + percent) + F.col("n") * percent / (100 + percent) - 1e-9) - F.col("i")
+    ranked = ranked.withColumn("rest", F.col("_s") - F.col("_p")).filter(F.col("rest") >= least)
+    ranked = common.written(ranked.select("h", F.col("_x.value").alias("value"), "id", "n", "component", "i", "out", "rest"), "ranked")
     u, w = side(ranked.filter("out"), "1", "h", "value", F.col("rest").alias("rest1")), side(ranked, "2", "h", "value", F.col("rest").alias("rest2"))
     sharing = u.join(w, ["h", "value"]).filter(fits(F.least("rest1", "rest2")))
 

@@ -58,11 +58,15 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float =
     counts tell. size names a column that holds the numbers of words, if they have been counted.
 
     A null text has size 0 and takes nothing. A null source is a source of its own, the last. A source without words has
-    target 0. Repeated rows are numbered each, in an order that does not matter. A null doc_id counts as 0 in the
-    numbering. Columns of the same names as the new ones are replaced; an empty table gives an empty table.
+    target 0. Repeated rows are numbered each; rows of equal size and doc_id go by a hash of all their columns (but maps),
+    so only rows that are alike can change places between runs. A null doc_id counts as 0 in the numbering. A text is only
+    counted, so it may be of any length. Columns of the same names as the new ones are replaced, in any case; others may
+    have any name; an empty table gives an empty table.
     """
     new = ["size", "source_size", "target", "copies", "taken"]
-    d = docs.withColumn("size", F.col(size) if size else word_count()).drop(*new[1:])
+    kept = [c for c in docs.columns if c.lower() not in new]
+    plain = [f.name for f in docs.schema.fields if f.name in kept and "map<" not in f.dataType.simpleString()]
+    d = docs.select(F.struct(*kept).alias("_row"), F.col("source"), F.col("doc_id"), F.xxhash64(*plain).alias("_hash"), (F.col(size) if size else word_count()).alias("size"))
     d = d.withColumn("_stratum", F.floor(F.log2(F.col("size") + 1.0) * STEPS).cast("int"))
     d = d.withColumn("_salt", F.pmod(F.coalesce(F.col("doc_id"), F.lit(0)), F.lit(SALTS)).cast("int"))
     cells = d.groupBy("source", "_stratum", "_salt").agg(F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_size"))
@@ -71,21 +75,21 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float =
     cells = cells.withColumn("_before", F.coalesce(F.sum("_n").over(ahead), F.lit(0)))
     goal = targets(sizes, weights, share, most)
     cells = cells.join(goal, cells.source.eqNullSafe(goal.source)).select(cells.source.alias("_source"), F.col("_stratum").alias("_st"), F.col("_salt").alias("_sa"), "_before", "source_size", "target")
-    within = Window.partitionBy("source", "_stratum", "_salt").orderBy("size", "doc_id")
+    within = Window.partitionBy("source", "_stratum", "_salt").orderBy("size", "doc_id", "_hash")
     d = d.withColumn("_at", F.row_number().over(within))
     d = d.join(cells, d.source.eqNullSafe(cells._source) & (d._stratum == cells._st) & (d._salt == cells._sa))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     place = F.col("_before") + F.col("_at")
-    d = d.withColumn("copies", F.least(F.floor(offset(seed) + rate * place) - F.floor(offset(seed) + rate * (place - 1)), F.lit(int(-(-most // 1)))).cast("long"))
-    d = d.withColumn("taken", F.col("copies") * F.col("size"))
-    return d.drop("_stratum", "_salt", "_at", "_source", "_st", "_sa", "_before")
+    copies = F.least(F.floor(offset(seed) + rate * place) - F.floor(offset(seed) + rate * (place - 1)), F.lit(int(-(-most // 1)))).cast("long")
+    out = d.select("_row", "size", "source_size", "target", copies.alias("copies"))
+    return out.select(*[F.col("_row")[c].alias(c) for c in kept], "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: every document as often as it is taken, with the columns of docs."""
-    m = mixed(docs, **options)
-    m = m.filter("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return m.select(*docs.columns)
+    """The mix itself: every document as often as it is taken, with the columns of docs (see mixed() for odd rows)."""
+    rows = docs.select("doc_id", "source", "text", F.struct("*").alias("_docs_row"))
+    m = mixed(rows, **options).filter("copies > 0").select("_docs_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return m.select(*[F.col("_docs_row")[c].alias(c) for c in docs.columns])
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
 import uuid
 
@@ -16,16 +17,29 @@ WIDTH, GRAM = 35, 16
 BATCHES, FAN = 4, 3
 
 
+@contextlib.contextmanager
+def _sorted_buckets(spark: SparkSession):
+    """Within it, Spark takes the order of bucketed files as given, where a bucket is one file."""
+    name = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class FingerprintIndex:
     """Sorted immutable runs of fingerprints, one more for each batch of documents.
 
     A run has a row for each stretch of windows (see windows) with its fingerprint, and is stored bucketed and sorted by it,
-    so a new run is merge-joined with each earlier one without another exchange. What they share is known to be repeated
-    from then on, in both. When FAN runs are of one level they are merged into one of the next level, so each row is written
-    a logarithmic number of times and a batch meets few runs.
+    a file a bucket, so a new run is merge-joined with each earlier one without another exchange or sort. What they share
+    is known to be repeated from then on, in both. When FAN runs are of one level they are merged, bucket by bucket, into
+    one of the next level, so each row is written a logarithmic number of times and a batch meets few runs.
 
-    name is that of the tables in the session's warehouse; an index is dropped by drop(). Fingerprints only find windows:
-    stretches are compared whole, and windows by a second, independent hash within their fingerprint.
+    name is that of the tables in the session's warehouse. state() tells what open() needs to go on with them, in another
+    session too; drop() removes them. Fingerprints only find windows: stretches are compared by a hash of all their words
+    among those of one fingerprint, and windows likewise.
     """
 
     def __init__(self, spark: SparkSession, name: str | None = None, width: int = WIDTH, gram: int = GRAM, fan: int = FAN, buckets: int | None = None):
@@ -33,29 +47,47 @@ class FingerprintIndex:
         self.name = name or f"fingerprints_{uuid.uuid4().hex}"
         self.buckets = buckets or common.parts(spark)
         self.runs: list[tuple[int, str]] = []  # (level, table)
-        self.shared: list[DataFrame] = []
+        self.shared: list[str] = []
         self.made = 0
 
-    def _write(self, rows: DataFrame, level: int) -> str:
-        table = f"{self.name}_{self.made}"
+    @classmethod
+    def open(cls, spark: SparkSession, state: str) -> FingerprintIndex:
+        """The index that state() told of; its tables must be in the session's catalog."""
+        told = json.loads(state)
+        index = cls(spark, told["name"], told["width"], told["gram"], told["fan"], told["buckets"])
+        index.runs, index.shared, index.made = [tuple(r) for r in told["runs"]], told["shared"], told["made"]
+        return index
+
+    def _table(self) -> str:
         self.made += 1
-        # the same hash of the same number of buckets deals rows to tasks, so a task writes one file
-        rows.repartition(self.buckets, "gram").write.bucketBy(self.buckets, "gram").sortBy("gram").option("compression", "zstd").saveAsTable(table, format="parquet")
+        return f"{self.name}_{self.made - 1}"
+
+    def _write(self, rows: DataFrame, level: int) -> str:
+        table = self._table()
+        rows.write.bucketBy(self.buckets, "gram").sortBy("gram").option("compression", "zstd").saveAsTable(table, format="parquet")
         self.runs.append((level, table))
         return table
 
     def add(self, docs: DataFrame) -> None:
-        """Add a batch of keyed documents."""
+        """Add a batch of keyed documents. Null and short texts have no windows and add nothing; a document that is added
+        twice is repeated."""
         earlier = [t for _, t in self.runs]
-        run = self.spark.table(self._write(windows.all_stretches(docs, "words", self.width, self.gram), 0))
-        own = run.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).cache()
-        both = own.filter("n > 1").select("gram")
-        for table in earlier:
-            both = both.unionByName(own.select("gram").join(self.spark.table(table).select("gram"), "gram", "left_semi"))
-        self.shared.append(common.written(both.distinct(), "shared"))
-        own.unpersist()
+        found = windows.all_stretches(docs, "words", self.width, self.gram)
+        # the same hash of the same number of buckets deals rows to tasks, so a task writes one file
+        run = self._write(found.repartition(self.buckets, "gram"), 0)
+        with _sorted_buckets(self.spark):
+            both = self.spark.table(run).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+            for table in earlier:
+                both = both.unionByName(self.meeting(run, table))
+            shared = self._table()
+            both.distinct().write.option("compression", "zstd").saveAsTable(shared, format="parquet")
+        self.shared.append(shared)
         self.compact()
 
+    def meeting(self, run: str, earlier: str) -> DataFrame:
+        """The fingerprints of a run that stand in an earlier one: a merge join of two sorted tables."""
+        return self.spark.table(run).hint("merge").join(self.spark.table(earlier).select("gram").hint("merge"), "gram", "left_semi").select("gram")
+
     def compact(self) -> None:
         """Merge the runs of every level that has `fan` of them."""
         while True:
@@ -65,7 +97,7 @@ class FingerprintIndex:
                 return
             old = [t for level, t in self.runs if level == full[0]]
             self.runs = [(level, t) for level, t in self.runs if level != full[0]]
-            self._write(self._union(old), full[0] + 1)
+            self._write(self._union(old).repartition(self.buckets, "gram"), full[0] + 1)
             for table in old:
                 self.spark.sql(f"DROP TABLE {table}")
 
@@ -77,24 +109,23 @@ class FingerprintIndex:
 
     def repeated(self) -> DataFrame:
         """The stretches, of all batches, whose fingerprint stands at more than one place."""
-        known = self.shared[0]
-        for more in self.shared[1:]:
-            known = known.unionByName(more)
-        known = common.written(known.distinct(), "known")
+        if not self.runs:
+            return self.spark.createDataFrame([], windows.STRETCHES)
+        known = common.written(self._union(self.shared).distinct(), "known")
         parts = [self.spark.table(t).join(known, "gram", "left_semi") for _, t in self.runs]
         out = parts[0]
         for part in parts[1:]:
             out = out.unionByName(part)
-        return common.written(out, "repeated")
+        return common.written(out.select(*windows.STRETCHES.names), "repeated")
 
     def drop(self) -> None:
-        for _, table in self.runs:
+        for table in [*(t for _, t in self.runs), *self.shared]:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        self.runs = []
+        self.runs, self.shared = [], []
 
     def state(self) -> str:
-        """What is needed to open the index again, as JSON."""
-        return json.dumps({"name": self.name, "runs": self.runs, "made": self.made, "width": self.width, "gram": self.gram, "buckets": self.buckets})
+        """What open() needs, as JSON."""
+        return json.dumps({"name": self.name, "runs": self.runs, "shared": self.shared, "made": self.made, "width": self.width, "gram": self.gram, "fan": self.fan, "buckets": self.buckets})
 
 
 def deduplicated(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, batches: int = BATCHES, texts: bool = True) -> DataFrame:
@@ -103,14 +134,22 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, batches:
     A window is `width` consecutive words [^\\x20\\x09-\\x0D]+ of one document. It is repeated if the same words also start
     anywhere else, in the same document too; all its words go, in every place. Windows are judged on the input. A null or
     empty text has no words; one of fewer words than a window stays as it is. Rows of equal doc_id and text are two places.
-    A null doc_id is an id like any other. Other columns are dropped; an empty table gives an empty one.
+    A null doc_id is an id like any other. Other columns are dropped; an empty table gives an empty one. A long text goes by
+    in slices, but its words are held as 8 bytes each, and as a whole where it is cut.
     """
     keyed = windows.keyed(docs)
     index = FingerprintIndex(docs.sparkSession, width=width, gram=gram)
-    for k in range(batches):
-        index.add(keyed.filter(F.pmod(F.xxhash64("key", "o"), F.lit(batches)) == k))
-    found = index.repeated()
-    index.drop()
+    try:
+        for k in range(batches):
+            index.add(keyed.filter(F.pmod(F.xxhash64("key", "o"), F.lit(batches)) == k))
+        found = index.repeated()
+    finally:
+        index.drop()
+    return without_repeated(keyed, found, width, gram, texts)
+
+
+def without_repeated(keyed: DataFrame, found: DataFrame, width: int = WIDTH, gram: int = GRAM, texts: bool = True) -> DataFrame:
+    """The result of deduplicated() for keyed documents of an index, from its repeated() stretches."""
     whole, candidates = windows.judged_stretches(found)
     some = windows.by_window(candidates, keyed, "words", width, gram)
     out = windows.without(keyed, whole.unionByName(some), "words", width, texts)

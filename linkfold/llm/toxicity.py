@@ -15,8 +15,10 @@ from . import common
 ROWS = 20_000
 #: The most features that are looked at, voters that vote, and features of the classifier; rows that make a feature count.
 CANDIDATES, VOTERS, FEATURES, SUPPORT = 1 << 15, 256, 4096, 3
-#: How often, at most and at least, the label votes for toxic in the clean and in the toxic class.
-LABEL = (0.01, 0.95)
+#: What is thought of the labels beforehand: how often they say toxic in the clean and in the toxic class, as if seen so often.
+LABEL, SEEN = (0.02, 0.9), 20.0
+#: Twice the information that two voters must share, in nats over all rows, for one to be taken as dependent on the other.
+DEPENDENT = 10.0
 #: Lengths, in bytes, of the word beginnings that are patterns beside the words themselves.
 BEGINNINGS = (4, 5, 6, 7, 8, 10)
 
@@ -30,7 +32,7 @@ class Model:
     bias: float
     voters: np.ndarray = dataclasses.field(default_factory=lambda: np.zeros(0, np.uint64))
     rates: np.ndarray = dataclasses.field(default_factory=lambda: np.zeros((0, 2)))
-    discounts: np.ndarray = dataclasses.field(default_factory=lambda: np.zeros(0))
+    parents: np.ndarray = dataclasses.field(default_factory=lambda: np.zeros(0, np.int64))
 
 
 def _letters() -> np.ndarray:
@@ -79,7 +81,11 @@ def features(column, wanted: np.ndarray | None = None):
 
 
 def labelled(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> DataFrame:
-    """text and toxic of about `rows` labelled documents that are not held out, the same on every run."""
+    """text and toxic of about `rows` labelled documents that are not held out, the same on every run.
+
+    Rows of labels without doc_id or toxic are left out; of several for one doc_id the greatest counts. All documents of a
+    labelled doc_id are taken, repeated ones too; those without doc_id never.
+    """
     labels = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     found = labels.count()
     share = min(1.0, rows / max(1, found))
@@ -90,16 +96,17 @@ def labelled(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> DataFrame:
 
 def held_out():
     """The rows from which no label is learnt."""
-    return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS, candidates: int = CANDIDATES, voters: int = VOTERS, size: int = FEATURES) -> Model:
     """Learn a model from a bounded sample of the labelled rows.
 
-    Lexicon voters are words, pattern voters are word beginnings: those most typical of rows labelled toxic. The label
-    model is a mixture of two classes that explains the votes of all voters and of the label itself, which is one voter
-    more. EM estimates how often each votes in either class; correlations of voters within the classes discount the weight
-    of voters that say the same. The classifier is a logistic regression on the posteriors over all chosen features.
+    Lexicon voters are words, pattern voters are word beginnings: those most typical of rows labelled toxic. What explains
+    their votes is label_model(); the label is one more voter of it, whose errors are estimated too. The classifier is a
+    logistic regression on the posteriors over all chosen features. Null and empty texts have no features; null, repeated
+    and conflicting labels are as in labelled(). Without labels of both kinds, or without documents, every score is the
+    share of toxic labels. The driver holds the features of `rows` rows that are among the `candidates`.
     """
     import pyarrow as pa
 
@@ -151,40 +158,71 @@ def learn(wanted: np.ndarray, row: np.ndarray, column: np.ndarray, label: np.nda
     use = back[column] >= 0
     row, column = row[use], back[column[use]]
     m = min(voters, len(good))
-    votes = np.zeros((n, m + 1), np.float32)
+    votes = np.zeros((n, m), np.float32)
     votes[row[column < m], column[column < m]] = 1
-    votes[:, m] = label
-    posterior, rates, discounts = label_model(votes, label)
+    posterior, rates, parents = label_model(votes, label)
     weights, bias = regression(row, column, posterior, len(good))
     order = np.argsort(wanted[good])
-    return Model(wanted[good][order], weights[order], bias, wanted[good[:m]], rates, discounts)
+    return Model(wanted[good][order], weights[order], bias, wanted[good[:m]], rates, parents)
 
 
-def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 15) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Posterior of class 1 per row, the voters' rates in the two classes, and the discounts for their correlations.
+def label_model(votes: np.ndarray, label: np.ndarray, rounds: int = 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Posterior of class 1 per row, the rates of the voters (last: the label) in the two classes, and the voters' parents.
 
-    A lexicon or pattern voter votes for class 1 or abstains, and abstaining says nothing. The last voter, the label, votes
-    either way and is held to a least accuracy, so that the classes stay those that the label means.
+    A generative model of the true class, the votes and the label, estimated by EM. A lexicon or pattern voter votes for
+    class 1 or abstains, and abstaining says nothing. How often it votes in a class, its accuracy, depends on the vote of
+    its parent, its correlation: the parents are a tree of the strongest dependences within the classes, and what is
+    estimated are rates given the parent's vote. So a voter adds little beside one that it always votes with. The label
+    says either; its rates have a prior but are estimated like all others, and EM starts from the votes, not from it.
     """
-    p = np.clip(start, 0.05, 0.95)
+    n, m = votes.shape
+    share = np.clip(label.mean(), 1e-4, 0.5)
+    rates = np.stack([((1 - label) @ votes + 0.05) / ((1 - label).sum() + 1), (label @ votes + 0.05) / (label.sum() + 1)], 1)
+    p = _sigmoid(np.log(share / (1 - share)) + votes @ np.maximum(0, np.log(rates[:, 1] / rates[:, 0])))
+    parents = _parents(votes, p)
+    has = np.flatnonzero(parents >= 0)
+    with_parent = votes[:, has] * votes[:, parents[has]]
+    told = np.zeros(2)
     for _ in range(rounds):
         share = np.clip(p.mean(), 1e-4, 0.5)
-        rates = np.stack([((1 - p) @ votes + 0.05) / ((1 - p).sum() + 1), (p @ votes + 0.05) / (p.sum() + 1)], 1)
-        together = np.zeros((votes.shape[1],) * 2)
+        alone, beside = np.zeros((m, 2)), np.zeros((len(has), 2))
         for k, q in ((0, 1 - p), (1, p)):
-            centred = (votes - rates[:, k].astype(np.float32)) * np.sqrt(q)[:, None].astype(np.float32)
-            together += centred.T @ centred
-        spread = np.sqrt(np.maximum(np.diag(together), 1e-9))
-        alike = np.clip(together / spread[:, None] / spread, 0, 1)
-        alike[alike < 0.2] = 0
-        np.fill_diagonal(alike, 1)
-        discounts = 1 / alike.sum(1)
-        discounts[-1], rates[-1] = 1, (min(rates[-1, 0], LABEL[0]), max(rates[-1, 1], LABEL[1]))
-        says = discounts * np.maximum(0, np.log(rates[:, 1]) - np.log(rates[:, 0]))
-        silent = np.log1p(-rates[-1, 1]) - np.log1p(-rates[-1, 0])
-        logit = np.log(share / (1 - share)) + votes @ says + (1 - votes[:, -1]) * silent
-        p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-    return p, rates, discounts
+            many = q @ votes
+            rates[:, k] = (many + 0.05) / (q.sum() + 1)
+            both, of_parent = q @ with_parent, many[parents[has]]
+            alone[:, k] = rates[:, k]
+            alone[has, k] = (many[has] - both + rates[has, k]) / (q.sum() - of_parent + 1)
+            beside[:, k] = (both + rates[has, k]) / (of_parent + 1)
+            told[k] = (q @ label + SEEN * LABEL[k]) / (q.sum() + SEEN)
+        says, says_beside = np.maximum(0, np.log(alone[:, 1] / alone[:, 0])), np.maximum(0, np.log(beside[:, 1] / beside[:, 0]))
+        logit = np.log(share / (1 - share)) + votes @ says + with_parent @ (says_beside - says[has])
+        p = _sigmoid(logit + label * np.log(told[1] / told[0]) + (1 - label) * np.log((1 - told[1]) / (1 - told[0])))
+    return p, np.vstack([rates, told]), parents
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def _parents(votes: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """The parent of each voter, -1 for none: a spanning forest of greatest mutual information within the classes."""
+    n, m = votes.shape
+    shared = np.zeros((m, m))
+    for q in (1 - p, p):
+        size = q.sum() + 1e-9
+        one = (q @ votes) / size
+        both = (votes * q[:, None].astype(np.float32)).T @ votes / size
+        cells = [(both, one[:, None] * one), (one[:, None] - both, one[:, None] * (1 - one)), (one - both, (1 - one)[:, None] * one), (1 - one[:, None] - one + both, (1 - one)[:, None] * (1 - one))]
+        shared += size * sum(np.where(x > 1e-9, x * np.log(np.maximum(x, 1e-12) / np.maximum(y, 1e-12)), 0) for x, y in cells)
+    parents, best, near, open_ = np.full(m, -1), np.full(m, -1.0), np.full(m, -1), np.ones(m, bool)
+    for _ in range(m):
+        i = int(np.argmax(np.where(open_, best, -np.inf)))
+        open_[i] = False
+        if 2 * best[i] >= DEPENDENT:
+            parents[i] = near[i]
+        closer = shared[i] > best
+        best, near = np.where(closer, shared[i], best), np.where(closer, i, near)
+    return parents
 
 
 def regression(row: np.ndarray, column: np.ndarray, goal: np.ndarray, m: int, rounds: int = 300, penalty: float = 0.02) -> tuple[np.ndarray, float]:
@@ -194,7 +232,7 @@ def regression(row: np.ndarray, column: np.ndarray, goal: np.ndarray, m: int, ro
     m1, m2 = np.zeros(m + 1), np.zeros(m + 1)
     for t in range(1, rounds + 1):
         z = b + np.bincount(row, w[column], n)
-        g = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - goal
+        g = _sigmoid(z) - goal
         grad = np.append(np.bincount(column, g[row], m) + penalty * w, g.sum()) / n
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.99 * m2 + 0.01 * grad * grad
         step = 0.1 * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.99**t)) + 1e-9)
@@ -219,7 +257,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             for lo, n, row, index in features(batch.column("text"), model.features):
                 if len(row):
                     z[lo : lo + n] += np.bincount(row, model.weights[index.astype(np.int64)], n)
-            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            p = _sigmoid(z)
             yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=schema.names)
 
     return docs.select(*[f.name for f in kept]).mapInArrow(run, schema)

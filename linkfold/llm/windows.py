@@ -100,9 +100,13 @@ def keyed(docs: DataFrame) -> DataFrame:
 _NAME = [T.StructField("o", T.LongType()), T.StructField("key", T.LongType())]
 
 
+#: Of tables of stretches.
+STRETCHES = T.StructType([*_NAME, *_STRETCH])
+
+
 def all_stretches(docs: DataFrame, kind: str, width: int, gram: int) -> DataFrame:
     """A row (o, key, first, last, anchor, gram, whole) for each stretch of keyed documents."""
-    schema = T.StructType([*_NAME, *_STRETCH])
+    schema = STRETCHES
 
     def run(batches):
         import pyarrow as pa

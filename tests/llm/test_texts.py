@@ -122,6 +122,15 @@ def test_mixing_edges(spark):
     assert mixing.mixed(documents(spark, [])).count() == 0
     clash = documents(spark).withColumn("size", F.lit("?")).withColumn("target", F.lit("?"))
     assert mixing.mixed(clash).columns.count("size") == 1
+    # names that the operators use inside stay the caller's
+    own = documents(spark, [(1, "a b\nc", "en", "s", 0)])
+    for c in ("_row", "_lines", "_doc", "_text", "_gone", "_salt", "_at", "_source", "_copy", "_docs_row", "Size", "N_Lines"):
+        own = own.withColumn(c, F.lit("mine"))
+    (r,) = line_dedup.deduplicated(own).collect()
+    assert (r._lines, r._doc, r._text, r._gone, r._row, r.n_lines, r.text) == ("mine",) * 5 + (2, "a b\nc") and "N_Lines" not in r.asDict()
+    (r,) = mixing.mixed(own).collect()
+    assert (r._salt, r._at, r._source, r._row, r.size) == ("mine",) * 4 + (3,) and "Size" not in r.asDict()
+    assert mixing.mix(own, most=1.0, share=1.0).columns == own.columns
 
 
 # op2
@@ -186,8 +195,7 @@ def test_line_dedup_of_runs_of_some_words(spark):
     assert {i: out[i].text for i, _ in data} == plain(data, 4)
 
 
-def test_line_dedup_of_frequent_keys(spark, monkeypatch):
-    monkeypatch.setattr(line_dedup, "MANY", 3)
+def test_line_dedup_of_frequent_keys(spark):
     r = random.Random(11)
     pool = [*(f"line {i}" for i in range(4)), "L" * 60, "", *(f"only {i}" for i in range(40))]
     data = [(i, "\n".join(r.choice(pool) for _ in range(r.randint(0, 12)))) for i in range(80)]
@@ -242,6 +250,62 @@ def test_suffix_dedup_equals_plain(spark, monkeypatch, width, gram, pairs, kinds
         assert (out[i].n_bytes, out[i].n_removed, out[i].n_spans, out[i].kept) == (len(x), sum(gone), spans, kept)
 
 
+def test_index_goes_on_in_batches(spark):
+    data = [(i, t, None, None, None) for i, t in enumerate(texts(14, 40))]
+    docs = windows.keyed(documents(spark, data))
+    index = substring_dedup.FingerprintIndex(spark, width=6, gram=3, buckets=4)
+    try:
+        for k in range(4):
+            index.add(docs.filter(F.col("doc_id") % 4 == k))
+            index = substring_dedup.FingerprintIndex.open(spark, index.state())
+            if k == 1:
+                with substring_dedup._sorted_buckets(spark):
+                    plan = index.meeting(index.runs[1][1], index.runs[0][1])._jdf.queryExecution().executedPlan().toString()
+                assert "SortMergeJoin" in plan and "Exchange" not in plan and "Sort [" not in plan, plan
+            if k == 2:
+                assert [level for level, _ in index.runs] == [1]
+        out = rows(substring_dedup.without_repeated(docs, index.repeated(), 6, 3))
+    finally:
+        index.drop()
+    items = [(t or "").encode().split() for _, t, *_ in data]
+    assert [out[i].n_removed for i in range(len(items))] == [sum(g) for g in plain_windows(items, 6)]
+
+
+#: Thue-Morse sequences, which are what sums of powers cannot tell apart.
+def morse(n, a, b):
+    return [(a, b)[bin(i).count("1") % 2] for i in range(n)]
+
+
+def test_texts_that_defeat_polynomial_hashes(spark):
+    one, two = "".join(morse(1024, "a", "b")), "".join(morse(1024, "b", "a"))
+    pair_ = spark.createDataFrame([(1, one), (2, two)], "doc_id long, text string")
+    assert all(r.kept for r in minhash_dedup.near_duplicates(pair_, 2).collect())
+    same = " ".join(f"w{i}" for i in range(34))
+    assert [r.n_removed for r in substring_dedup.deduplicated(spark.createDataFrame([(1, f"{same} {one}"), (2, f"{same} {two}")], "doc_id long, text string")).collect()] == [0, 0]
+    lines_ = spark.createDataFrame([(1, "\n".join(morse(64, "p" * 70, "q" * 70))), (2, "x\ny")], "doc_id long, text string")
+    assert rows(line_dedup.deduplicated(lines_))[1].n_removed == 62
+    width = 128
+    apart = spark.createDataFrame([(1, one[:width] + "#" + "c" * 99), (2, two[:width] + "%" + "d" * 99)], "doc_id long, text string")
+    got = rows(suffix_dedup.deduplicated(apart, width, 16))
+    want = [sum(g) for g in plain_windows([r.text.encode() for r in apart.orderBy("doc_id").collect()], width)]
+    assert [got[1].n_removed, got[2].n_removed] == want
+
+
+def test_word_hashes_tell_words_apart():
+    from linkfold.llm import common
+
+    words_ = sorted({b"x" * k for k in range(1, 200)} | {bytes([i]) + b"y" * k for i in range(33, 127) for k in range(12)} | {b"y" * k + bytes([i]) for i in range(33, 127) for k in range(12)})
+    data = np.frombuffer(b" ".join(words_), np.uint8)
+    starts, stops, _ = common.words(data, np.array([0, len(data)]))
+    h = common.word_hashes(data, starts, stops)
+    assert len(h) == len(words_) == len(set(h.tolist()))
+    spans = common.Spans(common.byte_values()[data])
+    at = np.arange(len(data) - 40)
+    for n in (1, 7, 33):
+        text = [data[i : i + n].tobytes() for i in at.tolist()]
+        assert len(set(text)) == len(set(spans.fixed(n)[at].tolist())) == len(set(spans.spans(at, at + n).tolist()))
+
+
 def test_dedup_of_equal_rows_and_empty_tables(spark):
     text = " ".join(f"w{i}" for i in range(60))
     twice = spark.createDataFrame([(1, text), (1, text), (None, text), (2, "short")], "doc_id long, text string")
@@ -349,6 +413,45 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(0 <= x.score <= 1 for x in out) and len(out) == 902
 
 
+def test_label_model_moves_where_voters_contradict_the_label():
+    r = np.random.default_rng(5)
+    truth = r.random(4000) < 0.15
+    votes = np.where(truth[:, None], r.random((4000, 12)) < 0.4, r.random((4000, 12)) < 0.01).astype(np.float32)
+    copies = np.repeat((r.random(4000) < 0.05)[:, None], 8, 1).astype(np.float32)  # eight voters that are one, and say nothing
+    label = np.where(r.random(4000) < 0.08, ~truth, truth).astype(float)
+    posterior, rates, parents = toxicity.label_model(np.hstack([votes, copies]), label)
+    wrong = label != truth
+    clear = wrong & ((votes.sum(1) >= 3) | (~truth & (votes.sum(1) == 0)))
+    assert wrong.sum() > 200 and ((posterior > 0.5) == truth)[clear & truth].mean() > 0.95
+    assert ((posterior > 0.5) == truth).mean() > 1 - wrong.mean() / 2
+    assert sorted(parents[12:] >= 12) == [False, *[True] * 7], "copies hang on each other"
+    plain = np.hstack([votes, copies])
+    for k in range(2):  # the rates are those of the true classes
+        assert np.abs(rates[:12, k] - plain[truth == k][:, :12].mean(0)).max() < 0.08
+    assert 0.85 < rates[-1, 1] < 0.97 and 0.03 < rates[-1, 0] < 0.13
+
+
+def test_regression_equals_plain_gradient_descent():
+    r = np.random.default_rng(6)
+    x, goal = (r.random((200, 5)) < 0.3).astype(float), r.random(200)
+    row, column = np.nonzero(x)
+    w, b = toxicity.regression(row, column, goal, 5, rounds=3000)
+    v, c = np.zeros(5), 0.0
+    for _ in range(20000):
+        g = 1 / (1 + np.exp(-(x @ v + c))) - goal
+        v, c = v - 0.5 * (x.T @ g + 0.02 * v) / 200, c - 0.5 * g.sum() / 200
+    assert np.allclose(w, v, atol=0.01) and abs(b - c) < 0.01
+
+
+def test_toxicity_of_repeated_and_nameless_rows(spark):
+    data = [(i // 2, "bad words" if i % 4 < 2 else "fine words", "en", "s", 0) for i in range(200)] + [(None, "bad words", None, None, None)] * 2
+    table = spark.createDataFrame([(i, 1, int(i % 2 == 0)) for i in range(100)] + [(0, 1, 0), (1, 1, None)], "doc_id long, quality int, toxic int")
+    docs = documents(spark, data)
+    out = toxicity.score(docs, toxicity.fit(docs, table)).withColumn("held", toxicity.held_out()).collect()
+    assert len(out) == len(data) and all(r.held is not None for r in out)
+    assert {(r.text, r.predicted) for r in out} == {("bad words", 1), ("fine words", 0)} and len({r.score for r in out}) == 2
+
+
 def test_toxicity_of_words_that_are_not_frequent(spark):
     data = [(i, "plain words stand here " + (f"bad{i % 5}" if i % 5 < 3 and i % 4 == 0 else "fine"), "en", "s", 0) for i in range(400)]
     docs = documents(spark, data)
