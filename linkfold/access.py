@@ -14,16 +14,16 @@ def acl_document(container: str, owner: str, members: str, mode: str) -> str:
     """Who may do what in a container. mode: open, members-only or private."""
     read, write = "acl:Read", "acl:Read, acl:Write"
     group, everyone = f"acl:agentGroup <{members}#group>", "acl:agentClass foaf:Agent"
-    rules = [("Owner has full control", _rule("owner", f"acl:agent <{owner}>", container, "acl:Read, acl:Write, acl:Control"))]
+    rules = [_rule("owner", f"acl:agent <{owner}>", container, "acl:Read, acl:Write, acl:Control")]
     if mode == "open":
-        rules.append(("Public read and write", _rule("public", everyone, container, write)))
+        rules.append(_rule("public", everyone, container, write))
     if mode == "members-only":
-        rules.append(("Members can read and write", _rule("members", group, container, write)))
-        rules.append(("Public can read", _rule("public", everyone, container, read)))
+        rules.append(_rule("members", group, container, write))
+        rules.append(_rule("public", everyone, container, read))
     if mode == "private":
-        rules.append(("Members can read and write (no public access)", _rule("members", group, container, write)))
+        rules.append(_rule("members", group, container, write))
     head = "\n".join(f"@prefix {p}: <{PREFIXES[p]}> ." for p in ("acl", "foaf"))
-    out = "\n\n".join([head, *[f"# {what}\n{rule}" for what, rule in rules]])
+    out = "\n\n".join([head, *rules])
     return out if mode in ("open", "members-only", "private") else out + "\n"
 
 

@@ -8,6 +8,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import schema, ship
 from .functions import hashing as H
@@ -17,8 +18,10 @@ from .settings import Settings, parse_settings
 from .sources import pod
 from .sources.tables import Store
 from .sources.turtle import parse_turtle
-from .streaming.sync import sync_batch
+from .streaming.sync import advance, sync_batch
 
+#: Links that one commit holds at most; a larger diff becomes several commits with the same parents.
+LINKS = 100_000
 #: Query kinds. Fixed values.
 KINDS = ("link-pattern",)
 #: The profile that is added if none has its native type. Its strings are fixed values.
@@ -47,7 +50,8 @@ class Engine:
     def query(self, kind: str, source: str | None = None, predicate: str | None = None, target: str | None = None) -> DataFrame:
         if kind not in KINDS:
             raise ValueError(f"unsupported query kind: {kind}")
-        return links.query_links(self.store.links(), source, predicate, target, dedup=False)
+        by = "target" if target and not source else "source"
+        return links.query_links(self.store.links(by), source, predicate, target, dedup=False)
 
     def supported_kinds(self) -> list[str]:
         return list(KINDS)
@@ -68,23 +72,34 @@ class Engine:
     # writing
 
     def commit(self, additions: DataFrame | None = None, removals: DataFrame | None = None, timestamp: str | None = None, project: bool = True) -> str:
-        """Commit a diff onto the heads; its hash. Publishes and projects it if the settings let it."""
+        """Commit a diff onto the heads; its hash (of a diff of more than LINKS links: the least of its commits'). Publishes
+        and projects it if the settings let it. The diff itself is emitted, when the links are up to date."""
         none = self.spark.createDataFrame([], schema.LINK)
         added, removed = ((none if x is None else x).select(*schema.LINK.names) for x in (additions, removals))
         commits = self.store.commits()
         ord0 = commits.agg(F.coalesce(F.max("ord"), F.lit(-1))).collect()[0][0]
-        gather = lambda df, name: df.agg(F.collect_list(F.struct(*schema.LINK.names)).alias(name))  # noqa: E731  one diff
-        row = gather(added, "additions").crossJoin(gather(removed, "removals")).crossJoin(self.heads().agg(F.array_sort(F.collect_set("commit_hash")).alias("previous")))
+        link, empty = F.struct(*schema.LINK.names), F.lit(None).cast(schema.LINK)
+        diff = added.select(link.alias("a"), empty.alias("r")).unionByName(removed.select(empty.alias("a"), link.alias("r")))
+        parts = max(1, -(-diff.count() // LINKS))
+        chunk = F.pmod(F.xxhash64("a", "r"), F.lit(parts)) if parts > 1 else F.lit(0).cast("long")
+        gathered = diff.groupBy(chunk.alias("chunk")).agg(F.collect_list("a").alias("additions"), F.collect_list("r").alias("removals"))
+        every = self.spark.range(parts).withColumnRenamed("id", "chunk").join(gathered, "chunk", "left")
+        lists = {c: F.coalesce(F.col(c), F.array().cast(T.ArrayType(schema.LINK))) for c in ("additions", "removals")}
+        heads = F.broadcast(self.heads().agg(F.array_sort(F.collect_set("commit_hash")).alias("previous")))  # one row
         now = timestamp or datetime.now(UTC).isoformat(timespec="milliseconds").replace("+00:00", "Z")
+        row = every.withColumns(lists).join(heads, how="cross")
         row = row.withColumns({"author": F.lit(self.author), "timestamp": F.lit(now), "ord": F.lit(ord0 + 1).cast("long")})
         new = self.store.append_commits(history.build_commits(row, self.hash).select(*schema.COMMITS.names))
-        name = new.select("commit_hash").collect()[0][0] if not new.isEmpty() else ""
-        self.refold()
+        name = new.agg(F.min("commit_hash")).collect()[0][0] or ""
         if links.touches_shapes(added, removed):
             self._profiles = None
-        change = links.with_hash(added, self.hash).withColumn("op", F.lit("add")).unionByName(links.with_hash(removed, self.hash).withColumn("op", F.lit("remove")))
-        if not change.isEmpty():
-            self.emit(change)
+
+        def own(change: DataFrame) -> None:
+            told = links.with_hash(added, self.hash).withColumn("op", F.lit("add")).unionByName(links.with_hash(removed, self.hash).withColumn("op", F.lit("remove")))
+            self.emit(told)
+
+        if advance(self.store, own, self.hash) is None and not diff.isEmpty() and name:
+            own(diff)
         if self.shared and self.settings.publishes:
             turtle = rdf.to_turtle(rdf.commit_triples(new, self.hash)).withColumnRenamed("doc", "name")
             pod.publish(turtle, f"{self.shared}/diffs")
@@ -93,12 +108,12 @@ class Engine:
         return name
 
     def refold(self) -> DataFrame:
-        """Write the fold of all commits as the links table."""
+        """Write the fold of all commits as the links table, whatever it holds; commits and syncs do not need it."""
         return self.store.replace_links(history.fold(self.store.commits(), self.hash))
 
     def project_diff(self, added: DataFrame, at: int) -> DataFrame:
         """Write a view for each instance that the added links make up by themselves; removals change no view."""
-        found = projection.project_instances(projection.authored(added).withColumn("ord", F.struct("timestamp", F.monotonically_increasing_id())), self.profiles())
+        found = projection.project_instances(projection.authored(added).withColumn("ord", F.struct("timestamp", "source", "predicate", "target")), self.profiles())
         triples = projection.to_native(found).withColumn("doc", F.col("subject"))
         turtle = rdf.to_turtle(triples).select(self.hash(F.col("doc")).alias("name"), "turtle", F.lit(at).cast("long").alias("at"))
         pod.write_views(turtle, f"{self.shared}/views")
@@ -111,12 +126,10 @@ class Engine:
         if not self.shared or not self.settings.subscribes:
             return None
         found = pod.resources(self.spark, f"{self.shared}/diffs", "diff")
-        before = self.store.links()
         change = sync_batch(self.store, found, self.emit, self.hash, verify)
-        if change is None:
-            return None
-        after = self.refold()
-        return history.delta(before, after)
+        if change is not None and links.touches_shapes(change):
+            self._profiles = None
+        return change
 
     full_sync = sync
 

@@ -18,15 +18,34 @@ def _col(c) -> Column:
     return c if isinstance(c, Column) else F.col(c)
 
 
+#: Control characters whose escapes in JSON have a letter in them: these are written in lower case by those who hash it.
+_LETTERED = [0x0B, 0x0E, 0x0F, *range(0x1A, 0x20)]
+
+
+def _json(build: Callable[[Callable[[Column], Column]], Column], texts: list[Column]) -> Column:
+    """to_json() of what build(clean) makes of texts, with lower-case escapes of control characters.
+
+    clean() puts a noncharacter in the place of such a character, so that it can be told from a backslash in the text.
+    """
+    away, stand = "".join(map(chr, _LETTERED)), "".join(chr(0xFDD0 + c) for c in _LETTERED)
+    plain = F.to_json(build(lambda c: c))
+    safe = F.to_json(build(lambda c: F.translate(c, away, stand)))
+    for c in _LETTERED:
+        safe = F.replace(safe, F.lit(chr(0xFDD0 + c)), F.lit(f"\\u{c:04x}"))
+    odd = F.concat_ws("", *texts).rlike("[\\x0B\\x0E\\x0F\\x1A-\\x1F]")
+    return F.when(odd, safe).otherwise(plain)
+
+
 def link_hash(source="source", predicate="predicate", target="target", author="author", timestamp="timestamp", hash: Hash = sha256) -> Column:
     """Identity of a link in the fold: a JSON array in which missing parts are null. The proof is no part of it."""
-    return hash(F.to_json(F.array(*map(_col, (source, predicate, target, author, timestamp)))))
+    parts = [*map(_col, (source, predicate, target, author, timestamp))]
+    return hash(_json(lambda clean: F.array(*map(clean, parts)), parts))
 
 
 def content_hash(source="source", predicate="predicate", target="target", hash: Hash = sha256) -> Column:
     """Identity of what a link says, whoever said it when; missing parts are empty."""
-    parts = {"source": source, "predicate": predicate, "target": target}
-    return hash(F.to_json(F.struct(*[F.coalesce(_col(c), F.lit("")).alias(k) for k, c in parts.items()])))
+    parts = {k: F.coalesce(_col(c), F.lit("")) for k, c in (("source", source), ("predicate", predicate), ("target", target))}
+    return hash(_json(lambda clean: F.struct(*[clean(c).alias(k) for k, c in parts.items()]), [*parts.values()]))
 
 
 def content_key(source="source", predicate="predicate", target="target", author="author", timestamp="timestamp") -> Column:
@@ -39,7 +58,8 @@ def commit_canonical(additions, removals, previous, author="author", timestamp="
     whatever stands in them twice."""
     lists = {"additions": additions, "removals": removals, "previous": previous}
     fields = [F.array_sort(F.coalesce(_col(c), F.array().cast("array<string>"))).alias(k) for k, c in lists.items()]
-    return F.to_json(F.struct(*fields, F.coalesce(_col(author), F.lit("")).alias("author"), F.coalesce(_col(timestamp), F.lit("")).alias("timestamp")))
+    texts = {k: F.coalesce(_col(c), F.lit("")) for k, c in (("author", author), ("timestamp", timestamp))}
+    return _json(lambda clean: F.struct(*fields, *[clean(c).alias(k) for k, c in texts.items()]), [*texts.values()])
 
 
 def commit_hash(additions, removals, previous, author="author", timestamp="timestamp", hash: Hash = sha256) -> Column:

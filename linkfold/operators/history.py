@@ -43,14 +43,16 @@ def add_commits(commits: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def fold(commits: DataFrame, hash: H.Hash = H.sha256) -> DataFrame:
-    """The links that commits describe, one row for each hash. Of several rows the last one counts, by ord and place."""
+    """The links that commits describe, one row for each hash. Of several rows the last one counts, by ord, commit and place."""
     return fold_rows(additions(commits, hash), removals(commits))
 
 
-def fold_rows(added: DataFrame, removed: DataFrame, order: tuple[str, ...] = ("ord", "pos")) -> DataFrame:
-    """The same of rows: removals leave before the aggregate, so what is gone is never grouped."""
+def fold_rows(added: DataFrame, removed: DataFrame, order: tuple[str, ...] = ("ord", "commit_hash", "pos")) -> DataFrame:
+    """The same of rows: removals leave before the aggregate, so what is gone is never grouped. Commits that arrive together
+    have one ord; their hashes, on which all replicas agree, then tell which row is the last."""
     left = added.join(removed.select("link_hash"), "link_hash", "left_anti")
-    rest = [c for c in added.columns if c not in ("link_hash", "commit_hash", *order)]
+    order = [c for c in order if c in added.columns]
+    rest = [c for c in added.columns if c not in ("link_hash", *order)]
     last = left.groupBy("link_hash").agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_last"))
     return last.select("link_hash", "_last.*")
 
@@ -60,20 +62,30 @@ def tombstoned(commits: DataFrame) -> DataFrame:
 
 
 def delta(before: DataFrame, after: DataFrame) -> DataFrame:
-    """What differs between two folds, by hash alone: the rows of after that are new, of before that are gone; op tells."""
-    new = after.join(before.select("link_hash"), "link_hash", "left_anti").withColumn("op", F.lit("add"))
-    gone = before.join(after.select("link_hash"), "link_hash", "left_anti").withColumn("op", F.lit("remove"))
-    return new.unionByName(gone)
+    """What differs between two folds, by hash alone: the rows of after that are new, of before that are gone; op tells.
 
+    One exchange: the rows of both meet by hash, and those of which one side has none are the difference.
+    """
+    rest = [c for c in before.columns if c != "link_hash"]
+    side = lambda df, late: df.select("link_hash", F.struct(*rest).alias("row"), F.lit(late).alias("late"))
+    both = side(before, 0).unionByName(side(after, 1)).groupBy("link_hash")
+    one = both.agg(F.min("late").alias("_first"), F.max("late").alias("_last"), F.any_value("row").alias("_row")).filter("_first = _last")
+    return one.select("link_hash", "_row.*", F.when(F.col("_last") == 1, F.lit("add")).otherwise(F.lit("remove")).alias("op"))
 
-def incremental_delta(known: DataFrame, new: DataFrame, hash: H.Hash = H.sha256) -> DataFrame:
-    """delta(fold(known), fold(known + new)) from the hashes alone that the new commits touch."""
+
+def touched_folds(known: DataFrame, new: DataFrame, hash: H.Hash = H.sha256) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The hashes that the new commits touch, and the folds of these alone before and after them."""
     added, removed = additions(new, hash), removals(new)
     touched = added.select("link_hash").unionByName(removed.select("link_hash")).distinct()
     old_added = additions(known, hash).join(touched, "link_hash", "left_semi")
     old_removed = removals(known).join(touched, "link_hash", "left_semi")
-    before = fold_rows(old_added, old_removed)
-    return delta(before, fold_rows(old_added.unionByName(added), old_removed.unionByName(removed)))
+    return touched, fold_rows(old_added, old_removed), fold_rows(old_added.unionByName(added), old_removed.unionByName(removed))
+
+
+def incremental_delta(known: DataFrame, new: DataFrame, hash: H.Hash = H.sha256) -> DataFrame:
+    """delta(fold(known), fold(known + new)) from the hashes alone that the new commits touch."""
+    _, before, after = touched_folds(known, new, hash)
+    return delta(before, after)
 
 
 def heads(commits: DataFrame) -> DataFrame:
@@ -93,29 +105,32 @@ def head_groups(commits: DataFrame, group: str) -> DataFrame:
     return top.groupBy(group).agg(H.revision(F.collect_set("commit_hash")).alias("revision"), F.count(F.lit(1)).alias("n_heads"))
 
 
-def ancestors(starts: DataFrame, edges: DataFrame, known: DataFrame | None = None, rounds: int = 100_000, cut: int = 8) -> DataFrame:
+def ancestors(starts: DataFrame, edges: DataFrame, known: DataFrame | None = None, rounds: int = 64, cut: int = 8) -> DataFrame:
     """Commits to be reached from starts(commit_hash) by edges(child, parent), the starts included.
 
     The walk does not pass what is known(commit_hash), whatever may be missing behind it, nor a parent that has no row. A
-    round takes one generation of all starts together; the visited set is written out every `cut` rounds.
+    round takes as many generations of all starts together as all rounds before it: the edges of twice the length are
+    made by joining the edges with themselves. The visited set is written out every `cut` rounds.
     """
     spark = starts.sparkSession
+    if known is not None:
+        edges = edges.join(known.select(F.col("commit_hash").alias("child")), "child", "left_anti").join(known.select(F.col("commit_hash").alias("parent")), "parent", "left_anti")
     new = starts.select("commit_hash").distinct()
     if known is not None:
         new = new.join(known.select("commit_hash"), "commit_hash", "left_anti")
-    seen = frontier = _cut(new)
+    seen, steps = _cut(new), _cut(edges.select("child", "parent").distinct())
     for k in range(rounds):
-        new = frontier.join(edges, frontier.commit_hash == edges.child).select(F.col("parent").alias("commit_hash")).distinct()
-        new = new.join(seen, "commit_hash", "left_anti")
-        if known is not None:
-            new = new.join(known.select("commit_hash"), "commit_hash", "left_anti")
-        frontier = _cut(new)
+        new = seen.join(steps, seen.commit_hash == steps.child).select(F.col("parent").alias("commit_hash")).distinct()
+        frontier = _cut(new.join(seen, "commit_hash", "left_anti"))
         if frontier.isEmpty():
             return seen
         seen = seen.unionByName(frontier)
         if k % cut == cut - 1:
             seen = _cut(seen)
-    raise RuntimeError(f"more than {rounds} generations: {spark.sparkContext.applicationId}")
+        # every commit reached so far lies within 2**k steps; so do those that one more step of twice that length adds
+        on = steps.select(F.col("child").alias("parent"), F.col("parent").alias("_far"))
+        steps = _cut(steps.join(on, "parent").select("child", F.col("_far").alias("parent")).distinct())
+    raise RuntimeError(f"more than 2 ** {rounds} generations: {spark.sparkContext.applicationId}")
 
 
 def _cut(df: DataFrame) -> DataFrame:

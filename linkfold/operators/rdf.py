@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import hashing as H
 from ..functions.uris import compact_uri, prefix_block
+from ..sources.turtle import parse_turtle
 
 
 def _col(c) -> Column:
@@ -50,9 +51,9 @@ def reify(links: DataFrame, name: Column | None = None) -> DataFrame:
     return out.select("doc", "ord", "t.*")
 
 
-def raw_triples(links: DataFrame) -> DataFrame:
+def raw_triples(links: DataFrame, *keys: str) -> DataFrame:
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
-    return links.select(text("source").alias("subject"), text("predicate").alias("predicate"), text("target").alias("object"), F.lit(False).alias("object_is_literal"), F.lit(None).cast("string").alias("object_datatype"))
+    return links.select(*keys, text("source").alias("subject"), text("predicate").alias("predicate"), text("target").alias("object"), F.lit(False).alias("object_is_literal"), F.lit(None).cast("string").alias("object_datatype"))
 
 
 def first_objects(triples: DataFrame, keys: list[str], wanted: dict[str, str]) -> DataFrame:
@@ -157,6 +158,40 @@ def commits_from_triples(triples: DataFrame) -> DataFrame:
     )
 
 
+def document_triples(links: DataFrame, strategy: str = "reified", hash: H.Hash = H.sha256) -> DataFrame:
+    """Triples of links(doc, ord, link columns): what each document that holds them says, in their order.
+
+    strategy is a rendering strategy of the settings: raw triples, or (any other) a node for each link, named by the hash of
+    its content key.
+    """
+    if strategy == "raw-triples":
+        return raw_triples(links, "doc", "ord")
+    node = F.concat(F.lit("#link-"), hash(H.content_key()))
+    link = F.struct("source", "predicate", "target", "author", "timestamp", "proof")
+    out = links.select("doc", F.col("ord").alias("_at"), F.posexplode(link_triples(node, link)).alias("_k", "t"))
+    return out.select("doc", (F.col("_at") * 16 + F.col("_k")).alias("ord"), "t.*")
+
+
+def links_to_turtle(links: DataFrame, strategy: str = "reified", hash: H.Hash = H.sha256) -> DataFrame:
+    """(doc, turtle) of links(doc, ord, ...): a document for each doc, be it of one link, a batch, or a diff's additions."""
+    return to_turtle(document_triples(links, strategy, hash))
+
+
+def turtle_to_links(documents: DataFrame, now: str, base: str = "") -> DataFrame:
+    """The links of documents(doc, turtle)."""
+    return dereify(parse_turtle(documents), now, base)
+
+
+def hash_turtle(turtle="turtle", hash: H.Hash = H.sha256) -> Column:
+    """The content address of a Turtle text."""
+    return hash(_col(turtle))
+
+
+def parse_with_hash(documents: DataFrame, hash: H.Hash = H.sha256) -> DataFrame:
+    """The triples of documents(doc, turtle), each with the content address of its document as turtle_hash."""
+    return parse_turtle(documents).join(documents.select("doc", hash_turtle(hash=hash).alias("turtle_hash")), "doc")
+
+
 def find_subjects(triples: DataFrame, predicate: str, object: str) -> DataFrame:
     return triples.filter((F.col("predicate") == predicate) & (F.col("object") == object)).select("doc", "ord", "subject")
 

@@ -11,7 +11,7 @@ from ..functions import literals as L
 from ..functions import patterns, uris
 from ..functions.nodes import compile_node
 from ..operators import history, links, projection, rdf
-from ..operators.profiles import Field, Flag, Profile, chat_profile, parse_profiles
+from ..operators.profiles import Field, Flag, Profile, chat_profile
 from ..sources.turtle import parse_turtle
 from . import mapping as M
 
@@ -356,13 +356,6 @@ def ingest_new(spark, d):
     return projection.new_resources(found, chat.filter("author = 'did:test:user'")).select("source", "predicate", "target")
 
 
-@query("shape_profiles", "SELECT * FROM (VALUES ('x://Msg', 'x://body', 'body', 1::BIGINT)) v(native_type, path, field, n_flags)")
-def shape_profiles(spark, d):
-    rows = [("x://S", C.NATIVE_TYPE, "literal:string:x%3A%2F%2FMsg"), ("x://S", C.PROPERTY, "x://p"), ("x://S", C.PROPERTY, "x://q"), ("x://p", C.PATH, "x://type"), ("x://p", C.HAS_VALUE, "x://Msg"), ("x://q", C.PATH, "x://body"), ("x://q", C.FIELD, "literal:string:body")]
-    out = [(p.native_type, f.path, f.name, len(p.flags)) for p in parse_profiles(rows) for f in p.fields]
-    return spark.createDataFrame(out, "native_type string, path string, field string, n_flags long")
-
-
 # triples
 
 
@@ -418,6 +411,10 @@ _TTL = """'@prefix ad4m: <https://ad4m.dev/ontology#> .
 
 @query("turtle_serialize", f"WITH {_INSTANCE} SELECT base AS doc, {_TTL} || '<' || base || '> a <http://rdfs.org/sioc/ns#Post> ;\n    <http://rdfs.org/sioc/ns#content> \"' || replace(replace(text, chr(92), chr(92) || chr(92)), '\"', chr(92) || '\"') || '\" ;\n    dcterms:creator <' || i.author || '> ;\n    dcterms:created \"' || i.timestamp || '\"^^xsd:dateTime .' AS turtle FROM i JOIN conversations ON base = 'msg://' || conv_id || '/' || turn")
 def turtle_serialize(spark, d):
+    return _table_turtle(spark, d)
+
+
+def _table_turtle(spark, d):
     triples = projection.to_native(projection.project_instances(M.chat_links(spark, d), [_PROFILE]))
     return rdf.to_turtle(triples.withColumn("doc", F.col("subject")))
 
@@ -480,3 +477,6 @@ def missing_commits(spark, d):
     members = commits.select(F.lit(C.CONTAINS).alias("predicate"), F.concat(F.lit("diff-"), "commit_hash", F.lit(".ttl")).alias("object"))
     found = listing(members, "http://pod/diffs/", "diff").select(F.col("name").alias("commit_hash"))
     return found.join(commits.filter("day < '2024-01-20'").select("commit_hash"), "commit_hash", "left_anti")
+
+
+from . import engine_queries  # noqa: E402, F401  (it adds its queries to these)

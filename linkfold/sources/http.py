@@ -13,7 +13,7 @@ from typing import NamedTuple
 from urllib.parse import urlencode
 
 from ..access import acl_document, headers, members_document
-from ..constants import CONTAINS, TURTLE
+from ..constants import CONTAINS, PREVIOUS, TURTLE
 from ..settings import Settings
 from .turtle import parse
 
@@ -127,13 +127,22 @@ class Documents:
         return self.set_members(registry, [m for m in members if m != member])
 
     def mirror(self, container: str, write: Callable[[str, str], None], known: set[str]) -> int:
-        """Hand the Turtle resources of a container that are not known to write(name, text); their number."""
+        """Hand the Turtle resources of a container that are not known to write(name, text); their number.
+
+        A commit's parents are fetched too where they are not known, listed or not, and theirs, until no more are found.
+        """
+        todo, asked = list(self.listing(container)), set(known)
         n = 0
-        for member in self.listing(container):
+        while todo:
+            member = todo.pop(0)
             name = member.rsplit("/", 1)[-1]
-            if name.endswith(".ttl") and name not in known and (text := self.fetch(member if "://" in member else container.rstrip("/") + "/" + name)) is not None:
+            if not name.endswith(".ttl") or name in asked:
+                continue
+            asked.add(name)
+            if (text := self.fetch(member if "://" in member else container.rstrip("/") + "/" + name)) is not None:
                 write(name, text)
                 n += 1
+                todo += [f"diff-{t.object}.ttl" for t in parse(text, member) if t.predicate == PREVIOUS]
         return n
 
 

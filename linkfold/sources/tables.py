@@ -17,6 +17,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share; a local one only where the session names none."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="linkfold-")
         spark.conf.set("spark.checkpoint.dir", found)
     return f"{found.rstrip('/')}/linkfold-{spark.sparkContext.applicationId}"
@@ -25,23 +27,38 @@ def shared_folder(spark: SparkSession) -> str:
 class Store:
     """Tables commits, links (the folded view) and peers.
 
-    commits only grows. links is written in versions: a pointer file names the current one, so a reader never meets a table
-    that is being written.
+    commits only grows, a batch at a time; `told` names the batches whose change has been emitted. links is written in
+    versions: a pointer file names the current one, so a reader never meets a table that is being written. Each version
+    is stored twice, in ranges of sources and in ranges of targets, so that a pattern reads the files that can have it.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
     def _read(self, name: str, kind: T.StructType) -> DataFrame:
-        path = f"{self.root}/{name}"
-        fs_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = fs_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(fs_path):
+        if not self._exists(name):
             return self.spark.createDataFrame([], kind)
-        return self.spark.read.schema(kind).parquet(path)
+        return self.spark.read.schema(kind).parquet(f"{self.root}/{name}")
+
+    def _exists(self, name: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
     def commits(self) -> DataFrame:
-        return self._read("commits", schema.COMMITS)
+        return self._read("commits", schema.COMMITS).select(*schema.COMMITS.names)
+
+    def pending(self) -> tuple[DataFrame, DataFrame, list[str]]:
+        """The commits whose change has been told, those whose change has not, and the batches of these: few, as one is
+        told before the next is taken, unless an emit has failed."""
+        every = self._read("commits", T.StructType([*schema.COMMITS.fields, T.StructField("batch", T.StringType())]))
+        told = self._read("told", T.StructType([T.StructField("batch", T.StringType())]))
+        batches = [r.batch for r in every.select("batch").distinct().join(told, "batch", "left_anti").collect()]
+        new = F.col("batch").isin(*batches) if batches else F.lit(False)
+        return every.filter(~new).select(*schema.COMMITS.names), every.filter(new).select(*schema.COMMITS.names), batches
+
+    def tell(self, batches: list[str]) -> None:
+        rows = [(b,) for b in batches]
+        self.spark.createDataFrame(rows, "batch string").coalesce(1).write.mode("append").parquet(f"{self.root}/told")
 
     def commit_hashes(self) -> DataFrame:
         return self.commits().select("commit_hash")
@@ -53,14 +70,20 @@ class Store:
         return not self.get_commit(commit_hash).isEmpty()
 
     def append_commits(self, new: DataFrame) -> DataFrame:
-        """Append those of new that are not stored; they are what is returned."""
+        """Append those of new that are not stored; they are what is returned. Nothing is left behind if there are none."""
         fresh = new.dropDuplicates(["commit_hash"]).join(self.commit_hashes(), "commit_hash", "left_anti").select(*schema.COMMITS.names)
         path = f"{self.root}/commits/batch={uuid.uuid4().hex}"
         fresh.write.parquet(path)
-        return self.spark.read.schema(schema.COMMITS).parquet(path)
+        out = self.spark.read.schema(schema.COMMITS).parquet(path)
+        if out.isEmpty():
+            p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+            return self.spark.createDataFrame([], schema.COMMITS)
+        return out
 
-    def links(self) -> DataFrame:
-        return self._read(f"links/{self._version()}", schema.LINKS)
+    def links(self, by: str = "source") -> DataFrame:
+        """The links; `by` says which copy of them is read: that in ranges of source or of target."""
+        return self._read(f"links/{self._version()}/by-{by}", schema.LINKS)
 
     def _version(self) -> str:
         rows = self._read("links-version", schema.VERSIONS).orderBy(F.col("at").desc()).limit(1).collect()
@@ -69,7 +92,10 @@ class Store:
     def replace_links(self, links: DataFrame) -> DataFrame:
         version, rows = uuid.uuid4().hex, self._read("links-version", schema.VERSIONS)
         at = (rows.agg(F.max("at")).collect()[0][0] or 0) + 1
-        links.select(*schema.LINKS.names).write.parquet(f"{self.root}/links/{version}")
+        rows_of = links.select(*schema.LINKS.names)
+        for by, order in (("source", ["source", "predicate", "target"]), ("target", ["target", "predicate", "source"])):
+            rows_of.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{self.root}/links/{version}/by-{by}")
+            rows_of = self.spark.read.schema(schema.LINKS).parquet(f"{self.root}/links/{version}/by-{by}")
         self.spark.createDataFrame([(version, at)], "version string, at long").coalesce(1).write.mode("append").parquet(f"{self.root}/links-version")
         return self.links()
 

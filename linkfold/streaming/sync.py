@@ -17,37 +17,47 @@ from ..sources.tables import Store
 Emit = Callable[[DataFrame], None]
 
 
+def advance(store: Store, emit: Emit, hash: H.Hash = H.sha256) -> DataFrame | None:
+    """Bring the stored links up to date with commits whose change has not been told yet, then emit that change.
+
+    Only hashes that these commits touch are folded again; all other links stay. Links are current when emit is called, and
+    a batch counts as told after it: if emit fails, the next call computes the same change and emits it again.
+    """
+    old, new, batches = store.pending()
+    if not batches:
+        return None
+    touched, before, after = history.touched_folds(old, new, hash)
+    store.replace_links(store.links().join(touched, "link_hash", "left_anti").unionByName(after, allowMissingColumns=True))
+    path = f"{store.root}/changes/{'-'.join(sorted(batches))[:64]}"
+    history.delta(before, after).write.mode("overwrite").parquet(path)
+    change = store.spark.read.parquet(path)
+    some = not change.isEmpty()
+    if some:
+        emit(change)
+    store.tell(batches)
+    return change if some else None
+
+
 def sync_batch(store: Store, found: DataFrame, emit: Emit, hash: H.Hash = H.sha256, verify: bool = False) -> DataFrame | None:
     """Take the commits of resources(name, doc, turtle) that the store does not have, and emit the change if there is any.
 
     Commits whose ancestors are missing are taken too, as the fold needs no order. With verify, a commit whose content does
-    not have the hash it is named by is left out. Only hashes that the new commits touch are folded again.
+    not have the hash it is named by is left out.
     """
     known = store.commits()
     commits = read_commits(found).join(known.select("commit_hash"), "commit_hash", "left_anti")
     if verify:
         of = lambda x: H.link_hash(x["source"], x["predicate"], x["target"], x["author"], x["timestamp"], hash)
         commits = commits.filter(F.col("commit_hash") == H.commit_hash(F.transform("additions", of), F.transform("removals", lambda t: t["link_hash"]), "previous", hash=hash))
+    # arrival has no order within a batch: there the commit's hash decides
     ord0 = known.agg(F.coalesce(F.max("ord"), F.lit(-1))).collect()[0][0]
-    # arrival has no order within a batch; the hash gives one that every replica agrees on
-    commits = commits.withColumn("ord", F.lit(ord0 + 1).cast("long"))
-    before = store.commits()
-    fresh = store.append_commits(commits)
-    if fresh.isEmpty():
-        return None
-    old = before.join(fresh.select("commit_hash"), "commit_hash", "left_anti")
-    change = history.incremental_delta(old, fresh, hash).persist()
-    try:
-        if change.isEmpty():
-            return None
-        emit(change)
-        return change
-    finally:
-        change.unpersist()
+    store.append_commits(commits.withColumn("ord", F.lit(ord0 + 1).cast("long")))
+    return advance(store, emit, hash)
 
 
 def stream_sync(spark: SparkSession, folder: str, store: Store, emit: Emit, checkpoint: str, hash: H.Hash = H.sha256, verify: bool = False, available_now: bool = True) -> StreamingQuery:
-    """sync_batch() of each micro-batch of new commit files in a folder. No watermark: late commits always count."""
+    """sync_batch() of each micro-batch of new commit files in a folder; links follow with each. No watermark: late commits
+    always count, and a batch that is run again adds nothing."""
     files = spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "diff-*.ttl").load(folder)
     files = files.select(F.col("_metadata.file_path").alias("doc"), F.col("value").alias("turtle")).withColumn("name", name_of("doc", "diff"))
 
