@@ -16,6 +16,8 @@ from .vectors import finite, packed
 
 #: Subspaces, and vectors of a pack.
 BLOCKS, PACK = 4, 2048
+#: Vectors of a pack that are passed over together where they are too far.
+GROUP = 128
 #: Candidates that are verified together.
 SLICE = 1 << 16
 #: What distances may be off by rounding.
@@ -61,8 +63,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, blocks: int = BLOCK
     squared distance of 2 - 2c in all; of it each subspace has a budget in proportion to its variance. A pair within the
     whole budget is within that of one subspace at least, so the range joins of all subspaces find every pair. A range join
     deals vectors into cells of the subspace's first axis as wide as the root of its budget, cells into packs of bounded
-    size, and joins packs of the same and of neighbouring cells. Within a pair of packs, distances in the subspace leave
-    the candidates; a candidate that an earlier subspace finds too is its, and the rest are verified by the exact cosine at
+    size, and joins packs of the same and of neighbouring cells. Within a pair of packs, groups of vectors that stand
+    together are passed over if their centres and radii part them, and distances in the subspace leave the candidates of
+    the rest (of vectors without clusters in many dimensions nearly all groups are looked at, as no axis parts them); a candidate that an earlier subspace finds too is its, and the rest are verified by the exact cosine at
     once, so no candidate is ever moved. Links are not moved either: a pair of packs gives, for each of its vectors that has
     links in it, their number and one link to the least vector of its component in that pair. So what it gives grows with
     the vectors, however many of them are near copies of each other.
@@ -130,10 +133,9 @@ def _links(nodes: DataFrame, dim: int, cosine: float, blocks: int, pack: int) ->
                 block = batch.column("block")[row].as_py()
                 xr, yr = x @ axes, y @ axes
                 i, j = edges[block], edges[block + 1]
-                # in single precision, with room for its rounding; candidates are looked at again below
-                u, w = xr[:, i:j].astype(np.float32), yr[:, i:j].astype(np.float32)
-                near = (u @ w.T) * 2 >= ((u * u).sum(1)[:, None] + (w * w).sum(1)[None, :]) - np.float32(budget[block] + 1e-5)
-                p, q = np.nonzero(np.triu(near, 1) if same else near)
+                p, q, _ = _close(xr[:, i:j], yr[:, i:j], budget[block])
+                if same:
+                    p, q = p[p < q], q[p < q]
                 found = []
                 for at in range(0, len(p), SLICE):  # a pair of packs of near copies has millions of candidates
                     u, w = p[at : at + SLICE], q[at : at + SLICE]
@@ -149,6 +151,49 @@ def _links(nodes: DataFrame, dim: int, cosine: float, blocks: int, pack: int) ->
     return pairs.select("block", "at", "cell2", "chunk", "chunk2", "ids", "data", "ids2", "data2").mapInArrow(verify, FOUND)
 
 
+def _grouped(u: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """An order of rows in which those nearest to one of a few of them, far from each other, stand together; the first of
+    every GROUP of them, and each group's centre and radius."""
+    nearest, own, at = np.full(len(u), np.inf), np.zeros(len(u), np.int64), 0
+    for k in range(len(u) // GROUP):
+        d = ((u - u[at]) ** 2).sum(1)
+        own, nearest = np.where(d < nearest, k, own), np.minimum(d, nearest)
+        at = int(nearest.argmax())
+    order = np.argsort(own, kind="stable")
+    starts = np.arange(0, len(u), GROUP)
+    sizes = np.diff(np.append(starts, len(u)))
+    centres = np.add.reduceat(u[order], starts) / sizes[:, None]
+    far = np.sqrt(np.maximum.reduceat(((u[order] - np.repeat(centres, sizes, 0)) ** 2).sum(1), starts))
+    return order, starts, centres, far
+
+
+def _close(u: np.ndarray, w: np.ndarray, budget: float) -> tuple[np.ndarray, np.ndarray, int]:
+    """The rows p of u and q of w whose squared distance may be within the budget, and how many pairs were looked at.
+
+    Groups that are too far from each other by their centres and radii are passed over. Distances are in single precision,
+    with room for its rounding; what is found is looked at again.
+    """
+    a, a_starts, a_centres, a_far = _grouped(u)
+    b, b_starts, b_centres, b_far = _grouped(w)
+    gap = np.sqrt(np.maximum(((a_centres[:, None, :] - b_centres[None, :, :]) ** 2).sum(2), 0)) - a_far[:, None] - b_far[None, :]
+    meet = gap <= math.sqrt(budget) + 1e-6
+    x, y = u[a].astype(np.float32), w[b].astype(np.float32)
+    xx, yy = (x * x).sum(1), (y * y).sum(1)
+    ps, qs, looked = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    group_of = np.arange(len(y)) // GROUP
+    for i, at in enumerate(a_starts.tolist()):
+        cols = np.flatnonzero(meet[i][group_of]) if not meet[i].all() else slice(None)
+        part = y[cols]
+        if len(part):
+            rows = slice(at, at + GROUP)
+            near = (x[rows] @ part.T) * 2 >= (xx[rows][:, None] + yy[cols][None, :]) - np.float32(budget + 1e-5)
+            looked += near.size
+            p, q = np.nonzero(near)
+            ps.append(a[at + p])
+            qs.append(b[q if isinstance(cols, slice) else cols[q]])
+    return np.concatenate(ps), np.concatenate(qs), looked
+
+
 def _summed(ids: np.ndarray, ids2: np.ndarray, p: np.ndarray, q: np.ndarray, same: bool) -> pa.RecordBatch:
     """What a pair of packs gives, from its links p-q: a row for each vector that has any."""
     every = ids if same else np.concatenate((ids, ids2))

@@ -15,6 +15,8 @@ from .vectors import finite, packed
 BLOCK, RANGE, GROUP = 64, 4096, 8
 #: Queries of a pack; vectors that lend their direction to the order of documents (a sample of so many at most).
 QUERIES, PIVOTS = 256, 64
+#: Blocks of a query that are scored before its bounds are looked at again; vectors of which its first kth score is made.
+STEP, SEED = 4, 1024
 
 
 def ordered(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -31,35 +33,53 @@ def ordered(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
 
 
 class Top:
-    """The k best candidates so far of each query of a pack."""
+    """The k best candidates so far of each query of a pack. floor: a score that k candidates of each query are known to have."""
 
-    def __init__(self, ids: np.ndarray, matrix: np.ndarray, k: int):
+    def __init__(self, ids: np.ndarray, matrix: np.ndarray, k: int, floor: np.ndarray | None = None):
         self.ids, self.q, self.k = ids, matrix, k
         self.score = np.full((len(ids), k), -np.inf)
         self.found = np.full((len(ids), k), np.iinfo(np.int64).max)
-        self.up, self.down = np.maximum(matrix, 0), np.minimum(matrix, 0)
+        self.floor = np.full(len(ids), -np.inf) if floor is None else floor
+        self.up, self.down, self.norm = np.maximum(matrix, 0), np.minimum(matrix, 0), np.linalg.norm(matrix, axis=1)
+
+    def least(self, live) -> np.ndarray:
+        """What a candidate must score to be of use: an equal score may still win by its smaller id."""
+        return np.maximum(self.score[live, -1], self.floor[live])
 
     def look(self, ids: np.ndarray, matrix: np.ndarray, block: int) -> int:
-        """Go through the blocks of one range; the number of blocks that some query had to be scored against."""
+        """Go through the blocks of one range, STEP of each query's best at a time; how many (query, block) were scored."""
         n = len(ids)
         starts = np.arange(0, n, block)
         most, least = np.maximum.reduceat(matrix, starts), np.minimum.reduceat(matrix, starts)
-        bound = self.up @ most.T + self.down @ least.T  # of each query and block: no vector of it scores more
-        scored = 0
-        for b in np.argsort(-bound.sum(0), kind="stable"):
-            # an equal score may still win by its smaller id
-            live = np.flatnonzero(bound[:, b] >= self.score[:, -1])
+        bound = self.up @ most.T + self.down @ least.T  # the sums of each dimension's greatest terms
+        centres = np.add.reduceat(matrix, starts) / np.diff(np.append(starts, n))[:, None]
+        far = np.sqrt(np.maximum.reduceat(((matrix - np.repeat(centres, np.diff(np.append(starts, n)), 0)) ** 2).sum(1), starts))
+        # nor more than the centre and the way to the farthest vector; with room for rounding
+        bound = np.minimum(bound, (self.q @ centres.T + self.norm[:, None] * far) * (1 + 1e-9) + 1e-6)
+        order = np.argsort(-bound, axis=1, kind="stable")
+        live, scored = np.arange(len(self.ids)), 0
+        for at in range(0, len(starts), STEP):
+            live = live[bound[live, order[live, at]] >= self.least(live)]  # bounds fall: all further blocks are below too
             if not len(live):
-                continue
-            scored += 1
-            lo, hi = starts[b], min(n, starts[b] + block)
-            s = self.q[live] @ matrix[lo:hi].T
-            s[self.ids[live][:, None] == ids[None, lo:hi]] = -np.inf
+                break
+            own = order[live, at : at + STEP]
+            wanted = np.zeros((len(live), len(starts)), bool)
+            np.put_along_axis(wanted, own, np.take_along_axis(bound[live], own, 1) >= self.least(live)[:, None], 1)
+            for b in np.flatnonzero(wanted.any(0)):
+                scored += self._score(live[wanted[:, b]], ids[starts[b] : starts[b] + block], matrix[starts[b] : starts[b] + block])
+        return scored
+
+    def _score(self, live: np.ndarray, ids: np.ndarray, matrix: np.ndarray) -> int:
+        s = self.q[live] @ matrix.T
+        s[self.ids[live][:, None] == ids[None, :]] = -np.inf
+        better = (s >= self.least(live)[:, None]).any(1)
+        live, s = live[better], s[better]
+        if len(live):
             scores = np.concatenate((self.score[live], s), 1)
-            found = np.concatenate((self.found[live], np.broadcast_to(ids[lo:hi], s.shape)), 1)
+            found = np.concatenate((self.found[live], np.broadcast_to(ids, s.shape)), 1)
             order = np.lexsort((found, -scores), axis=1)[:, : self.k]
             self.score[live], self.found[live] = np.take_along_axis(scores, order, 1), np.take_along_axis(found, order, 1)
-        return scored
+        return len(better)
 
     def rows(self):
         q, at = np.nonzero(np.isfinite(self.score))
@@ -76,9 +96,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, block: int = BLOC
     takes part, and the query rows of one vec_id are ranked together. An empty table gives an empty one.
 
     Vectors are put in order of direction and cut into ranges, ranges into blocks. A block's bound for a query is the sum
-    over dimensions of the largest term that any of its vectors can add; blocks are gone through by falling bounds, from
-    the blocks' own matrices, until no bound reaches the kth score. All queries meet all ranges, pack by pack; nothing
-    is broadcast, and what a task holds is one pack and one range.
+    over dimensions of the largest term that any of its vectors can add, or what its centre and radius allow if that is
+    less. Each query goes through the blocks by its own falling bounds, from the blocks' own matrices, until no bound
+    reaches its kth score; a sample of SEED vectors gives it a first one. All queries meet all ranges, pack by pack; what a
+    task holds is one pack, one range and the sample. Vectors without any order, as random ones in many dimensions, have
+    bounds above all scores: then every block is scored.
     """
     spark = vectors.sparkSession
 
@@ -94,7 +116,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, block: int = BLOC
     out = None
     for (dim,) in vectors.select("dim").distinct().collect():
         x = vectors.filter(F.col("dim") == dim).select("vec_id", "v", "row")
-        sample = np.array([r.v for r in x.orderBy(F.xxhash64("row")).limit(PIVOTS).collect()], float)
+        picked = x.orderBy(F.xxhash64("row")).limit(max(SEED, PIVOTS)).collect()
+        seeds = np.array([r.vec_id for r in picked], np.int64), np.array([r.v for r in picked], float)
+        sample = seeds[1][:PIVOTS]
         pivots = sample / np.maximum(np.linalg.norm(sample, axis=1, keepdims=True), 1e-9)
         x = common.written(ordered(x, pivots), "ordered")
         counts = {r["cell"]: r["count"] for r in x.groupBy("cell").count().collect()}  # PIVOTS rows at most
@@ -108,7 +132,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, block: int = BLOC
         packs = max(1, -(-q.count() // QUERIES))
         q = packed(q.withColumn("pack", F.pmod(F.xxhash64("row"), F.lit(packs)).cast("int")), ["pack"], ["vec_id"], "<f8")
         q = q.select("pack", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
-        part = q.join(ranges, "group").select("pack", "group", "q_ids", "q_data", "ids", "data").mapInArrow(_search(dim, k, block), "query_id long, vec_id long, score long")
+        part = q.join(ranges, "group").select("pack", "group", "q_ids", "q_data", "ids", "data").mapInArrow(_search(dim, k, block, seeds), "query_id long, vec_id long, score long")
         out = part if out is None else out.unionByName(part)
     if out is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
@@ -116,7 +140,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, block: int = BLOC
     return out.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _search(dim: int, k: int, block: int):
+def _search(dim: int, k: int, block: int, seeds: tuple[np.ndarray, np.ndarray]):
+    def floor(ids: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+        """The kth score among the sample, without the query's own rows."""
+        if len(seeds[0]) < k:
+            return np.full(len(ids), -np.inf)
+        s = matrix @ seeds[1].T
+        s[ids[:, None] == seeds[0][None, :]] = -np.inf
+        return -np.partition(-s, k - 1, axis=1)[:, k - 1]
+
     def run(batches):
         held, top = None, None
         for batch in batches:
@@ -126,7 +158,8 @@ def _search(dim: int, k: int, block: int):
                     if top is not None:
                         yield top.rows()
                     held = key
-                    top = Top(*_matrix(batch, row, "q_ids", "q_data", dim), k)
+                    pack = _matrix(batch, row, "q_ids", "q_data", dim)
+                    top = Top(*pack, k, floor(*pack))
                 top.look(*_matrix(batch, row, "ids", "data", dim), block)
         if top is not None:
             yield top.rows()

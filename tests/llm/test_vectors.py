@@ -39,6 +39,17 @@ def test_links_equal_plain(spark, monkeypatch, blocks):
     assert (out[906].n_links, out[906].component_id) == (1, 905)
 
 
+def test_far_groups_of_vectors_are_passed_over():
+    r = np.random.default_rng(9)
+    centres = r.normal(size=(16, 16))
+    both = [np.repeat(centres / np.linalg.norm(centres, axis=1, keepdims=True) / 2, 128, 0)[r.permutation(2048)] + r.normal(size=(2048, 16)) * 0.01 for _ in range(2)]
+    p, q, looked = embedding_dedup._close(*both, 0.005)
+    assert looked < 0.3 * 2048 * 2048
+    plain = ((both[0][:, None, :] - both[1][None, :, :]) ** 2).sum(2)
+    assert {*zip(p.tolist(), q.tolist(), strict=True)} >= {*zip(*[x.tolist() for x in np.nonzero(plain <= 0.005)], strict=True)}
+    assert (plain[p, q] <= 0.0051).all()
+
+
 def test_links_of_repeated_rows(spark):
     one, two = [1.0] + [0.0] * 7, [0.0] * 7 + [1.0]
     df = spark.createDataFrame([(1, one), (1, one), (1, two), (None, two), (2, one)], "vec_id long, v array<float>")
@@ -63,6 +74,21 @@ def test_top_k_equals_plain(spark, k, block, span):
     assert topk_search.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_most_blocks_of_clustered_vectors_are_skipped():
+    r = np.random.default_rng(8)
+    centres = r.normal(size=(64, 32)) * 40
+    x = np.floor(np.repeat(centres, 64, 0) + r.normal(size=(4096, 32)) * 4)
+    queries = x[::20]
+    top = topk_search.Top(np.arange(4096)[::20], queries, 20)
+    scored = top.look(np.arange(4096), x, 64)
+    assert scored < 0.1 * len(queries) * 64
+    for i in range(0, len(queries), 37):
+        s = sorted((-int(v @ queries[i]), j) for j, v in enumerate(x) if j != 20 * i)[:20]
+        assert [(-int(a), int(b)) for a, b in zip(top.score[i], top.found[i], strict=True)] == s
+    seeded = topk_search.Top(np.arange(4096)[::20], queries, 20, top.score[:, -1].copy())
+    assert seeded.look(np.arange(4096), x, 64) <= scored and (seeded.found == top.found).all()
+
+
 def test_op6_takes_every_row(spark, tmp_path):
     r = np.random.default_rng(3)
     data = [(int(i), [float(z) for z in r.integers(-4, 5, 4)]) for i in r.integers(0, 45, 120)]
