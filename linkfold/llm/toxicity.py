@@ -15,10 +15,13 @@ from . import common
 ROWS = 20_000
 #: The most features that are looked at, voters that vote, and features of the classifier; rows that make a feature count.
 CANDIDATES, VOTERS, FEATURES, SUPPORT = 1 << 15, 256, 4096, 3
-#: What is thought of the labels beforehand: how often they say toxic in the clean and in the toxic class, as if seen so often.
-LABEL, SEEN = (0.02, 0.9), 20.0
+#: What is thought of the labels beforehand: how often they say toxic in the clean and in the toxic class, as if seen in so
+#: many times the rows.
+LABEL, SEEN = (0.01, 0.97), 1.0
 #: Twice the information that two voters must share, in nats over all rows, for one to be taken as dependent on the other.
 DEPENDENT = 10.0
+#: Votes of a row that are counted apart.
+COUNTS = 6
 #: Lengths, in bytes, of the word beginnings that are patterns beside the words themselves.
 BEGINNINGS = (4, 5, 6, 7, 8, 10)
 
@@ -169,33 +172,37 @@ def learn(wanted: np.ndarray, row: np.ndarray, column: np.ndarray, label: np.nda
 def label_model(votes: np.ndarray, label: np.ndarray, rounds: int = 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior of class 1 per row, the rates of the voters (last: the label) in the two classes, and the voters' parents.
 
-    A generative model of the true class, the votes and the label, estimated by EM. A lexicon or pattern voter votes for
-    class 1 or abstains, and abstaining says nothing. How often it votes in a class, its accuracy, depends on the vote of
-    its parent, its correlation: the parents are a tree of the strongest dependences within the classes, and what is
-    estimated are rates given the parent's vote. So a voter adds little beside one that it always votes with. The label
-    says either; its rates have a prior but are estimated like all others, and EM starts from the votes, not from it.
+    A generative model of the true class, the votes and the label, estimated by EM. Lexicon and pattern voters vote for
+    class 1 or abstain. A tree of the strongest dependences within the classes gives voters parents: their correlations.
+    The class tells how many voters vote without their parent (COUNTS and more alike), then which ones: their accuracies;
+    and how often a voter votes beside its parent. So a voter adds little beside one that it always votes with, and one
+    vote in a text is not what five are. The label XX
     """
     n, m = votes.shape
     share = np.clip(label.mean(), 1e-4, 0.5)
     rates = np.stack([((1 - label) @ votes + 0.05) / ((1 - label).sum() + 1), (label @ votes + 0.05) / (label.sum() + 1)], 1)
-    p = _sigmoid(np.log(share / (1 - share)) + votes @ np.maximum(0, np.log(rates[:, 1] / rates[:, 0])))
+    # to start with, what the label says by its prior rates
+    p = share * np.where(label > 0, LABEL[1], 1 - LABEL[1])
+    p = p / (p + (1 - share) * np.where(label > 0, LABEL[0], 1 - LABEL[0]))
     parents = _parents(votes, p)
     has = np.flatnonzero(parents >= 0)
     with_parent = votes[:, has] * votes[:, parents[has]]
+    alone_votes = votes.copy()
+    alone_votes[:, has] -= with_parent
+    count = np.minimum(alone_votes.sum(1), COUNTS).astype(int)
     told = np.zeros(2)
     for _ in range(rounds):
         share = np.clip(p.mean(), 1e-4, 0.5)
-        alone, beside = np.zeros((m, 2)), np.zeros((len(has), 2))
+        alone, beside, counts = np.zeros((m, 2)), np.zeros((len(has), 2)), np.zeros((COUNTS + 1, 2))
         for k, q in ((0, 1 - p), (1, p)):
-            many = q @ votes
-            rates[:, k] = (many + 0.05) / (q.sum() + 1)
-            both, of_parent = q @ with_parent, many[parents[has]]
-            alone[:, k] = rates[:, k]
-            alone[has, k] = (many[has] - both + rates[has, k]) / (q.sum() - of_parent + 1)
-            beside[:, k] = (both + rates[has, k]) / (of_parent + 1)
-            told[k] = (q @ label + SEEN * LABEL[k]) / (q.sum() + SEEN)
-        says, says_beside = np.maximum(0, np.log(alone[:, 1] / alone[:, 0])), np.maximum(0, np.log(beside[:, 1] / beside[:, 0]))
-        logit = np.log(share / (1 - share)) + votes @ says + with_parent @ (says_beside - says[has])
+            rates[:, k] = (q @ votes + 0.05) / (q.sum() + 1)
+            which = q @ alone_votes + 1
+            alone[:, k] = which / which.sum()
+            beside[:, k] = (q @ with_parent + rates[has, k]) / ((q @ votes)[parents[has]] + 1)
+            counts[:, k] = (np.bincount(count, q, COUNTS + 1) + 1) / (q.sum() + COUNTS + 1)
+            told[k] = (q @ label + SEEN * n * LABEL[k]) / (q.sum() + SEEN * n)
+        logit = np.log(share / (1 - share)) + np.log(counts[:, 1] / counts[:, 0])[count]
+        logit = logit + alone_votes @ np.log(alone[:, 1] / alone[:, 0]) + with_parent @ np.log(beside[:, 1] / beside[:, 0])
         p = _sigmoid(logit + label * np.log(told[1] / told[0]) + (1 - label) * np.log((1 - told[1]) / (1 - told[0])))
     return p, np.vstack([rates, told]), parents
 

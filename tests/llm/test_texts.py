@@ -418,17 +418,18 @@ def test_label_model_moves_where_voters_contradict_the_label():
     truth = r.random(4000) < 0.15
     votes = np.where(truth[:, None], r.random((4000, 12)) < 0.4, r.random((4000, 12)) < 0.01).astype(np.float32)
     copies = np.repeat((r.random(4000) < 0.05)[:, None], 8, 1).astype(np.float32)  # eight voters that are one, and say nothing
-    label = np.where(r.random(4000) < 0.08, ~truth, truth).astype(float)
+    label = np.where(r.random(4000) < np.where(truth, 0.1, 0.01), ~truth, truth).astype(float)
     posterior, rates, parents = toxicity.label_model(np.hstack([votes, copies]), label)
     wrong = label != truth
-    clear = wrong & ((votes.sum(1) >= 3) | (~truth & (votes.sum(1) == 0)))
-    assert wrong.sum() > 200 and ((posterior > 0.5) == truth)[clear & truth].mean() > 0.95
-    assert ((posterior > 0.5) == truth).mean() > 1 - wrong.mean() / 2
+    assert wrong.sum() > 60
+    contradicted = truth & wrong & (votes.sum(1) >= 4)
+    assert contradicted.sum() > 20 and (posterior > 0.5)[contradicted].mean() > 0.9
+    assert ((posterior > 0.5) == truth).mean() > 1 - 0.6 * wrong.mean()
     assert sorted(parents[12:] >= 12) == [False, *[True] * 7], "copies hang on each other"
     plain = np.hstack([votes, copies])
     for k in range(2):  # the rates are those of the true classes
-        assert np.abs(rates[:12, k] - plain[truth == k][:, :12].mean(0)).max() < 0.08
-    assert 0.85 < rates[-1, 1] < 0.97 and 0.03 < rates[-1, 0] < 0.13
+        assert np.abs(rates[:12, k] - plain[truth == k][:, :12].mean(0)).max() < 0.06
+    assert abs(rates[-1, 1] - 0.93) < 0.05 and abs(rates[-1, 0] - 0.01) < 0.01
 
 
 def test_regression_equals_plain_gradient_descent():
