@@ -16,7 +16,7 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Texts up to so many characters are leaves of the tree.
 LEAF = 256
 #: Bytes of text, about, whose tokens are held together.
-HELD = 1 << 22
+HELD = 1 << 20
 #: First width, in characters, of the window that is searched on either side of a join for a place to end at.
 WINDOW = 32
 #: Places at which public_tokenizers.PATTERN parts two pieces whatever stands around: after a letter what is none, after a
@@ -168,7 +168,7 @@ def bpe(docs: DataFrame, path: str | None = None, pattern: str | None = None, le
             for lo, hi in common.chunks(common.text_buffers(batch.column("text"))[1], HELD):
                 yield encoded(batch.slice(lo, hi - lo))
 
-    return docs.select(*[f.name for f in kept], "text").mapInArrow(run, schema)
+    return docs.select(*[f.name for f in kept], "text").mapInArrow(common.trimmed(run), schema)
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ def rotation(vectors: DataFrame, dim: int) -> tuple[np.ndarray, np.ndarray]:
         yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(([n], total, outer.ravel()))], pa.list_(pa.float64()))], names=["sums"])
 
     # dim * dim numbers of each task, summed in place: not the vectors
-    sums = vectors.select("v").mapInArrow(run, "sums array<double>").select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("s")).orderBy("pos").toArrow()
+    sums = vectors.select("v").mapInArrow(common.trimmed(run), "sums array<double>").select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("s")).orderBy("pos").toArrow()
     sums = sums.column("s").to_numpy()
     n, mean, outer = max(sums[0], 1), sums[1 : dim + 1], sums[dim + 1 :].reshape(dim, dim)
     values, axes = np.linalg.eigh(outer / n - np.outer(mean / n, mean / n))
@@ -112,7 +112,7 @@ def _links(nodes: DataFrame, dim: int, cosine: float, blocks: int, pack: int) ->
                 cell = np.floor(x[:, b] / width[b]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column("o"), batch.column("h"), batch.column("n"), batch.column("v"), pa.array(np.full(len(cell), b, np.int32)), pa.array(cell)], names=schema.names)
 
-    dealt = nodes.mapInArrow(cells, schema)
+    dealt = nodes.mapInArrow(common.trimmed(cells), schema)
     # a cell for each width between -1 and 1 and subspace: a few dozen rows, whatever the input
     counts = {(r["block"], r["cell"]): r["count"] for r in dealt.groupBy("block", "cell").count().collect()}
     if not counts:
@@ -148,7 +148,7 @@ def _links(nodes: DataFrame, dim: int, cosine: float, blocks: int, pack: int) ->
                 good = np.concatenate(found) if found else np.zeros(0, np.int64)
                 yield _summed(ids, ids2, p[good], q[good], same)
 
-    return pairs.select("block", "at", "cell2", "chunk", "chunk2", "ids", "data", "ids2", "data2").mapInArrow(verify, FOUND)
+    return pairs.select("block", "at", "cell2", "chunk", "chunk2", "ids", "data", "ids2", "data2").mapInArrow(common.trimmed(verify), FOUND)
 
 
 def _grouped(u: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -214,3 +214,20 @@ def _summed(ids: np.ndarray, ids2: np.ndarray, p: np.ndarray, q: np.ndarray, sam
 
 def op9(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", F.col("embedding").alias("v")))
+
+
+#: DuckDB SQL for op9: all pairs, and all that can be reached. For tables in which vec_id is unique.
+OP9_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9
+), r AS (
+  SELECT vec_id, vec_id AS c FROM embeddings UNION SELECT l.y, r.c FROM r JOIN l ON r.vec_id = l.x
+), n AS (
+  SELECT x, count(*) AS n FROM l GROUP BY x
+)
+SELECT vec_id, coalesce(any_value(n), 0)::BIGINT AS n_links, min(c) AS component_id, vec_id = min(c) AS kept
+FROM r LEFT JOIN n ON x = vec_id GROUP BY vec_id
+"""

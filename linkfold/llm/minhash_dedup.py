@@ -75,7 +75,7 @@ def signatures(docs: DataFrame, size: int, sketch: int = SKETCH, keys: tuple[str
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(few))).astype(np.int32)), pa.array(h[take]))
                 yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(lo, hi - lo) for c in keys], pa.array(n), *map(pa.array, _whole(ends, h)), lists], names=schema.names)
 
-    return docs.select(*keys, "text").mapInArrow(run, schema)
+    return docs.select(*keys, "text").mapInArrow(common.trimmed(run), schema)
 
 
 def full_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -93,7 +93,7 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(h))
                 yield pa.RecordBatch.from_arrays([*[batch.column(f.name).slice(lo, hi - lo) for f in kept], *map(pa.array, _whole(ends, h)), lists], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(common.trimmed(run), schema)
 
 
 def estimate(a: str, b: str, sketch: int = SKETCH) -> Column:
@@ -303,3 +303,26 @@ def leftover(met: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int)
 
 def op1(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), size=2)
+
+
+#: DuckDB SQL for op1: all pairs that share a shingle, and all that can be reached. For tables in which doc_id is unique.
+OP1_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 1], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 1, 1))) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), l AS (
+  SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)
+), b AS (
+  SELECT x, y FROM l UNION ALL SELECT y, x FROM l
+), r AS (
+  SELECT doc_id, doc_id AS c FROM documents UNION SELECT b.y, r.c FROM r JOIN b ON r.doc_id = b.x
+)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(c) AS component_id, doc_id = min(c) AS kept
+FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""

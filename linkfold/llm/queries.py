@@ -18,6 +18,9 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_minhash_dedup": minhash_dedup.OP1_SQL,
+    "op4_substring_dedup": substring_dedup.OP4_SQL,
+    "op9_embedding_dedup": embedding_dedup.OP9_SQL,
     "op6_topk_search": topk_search.OP6_SQL,
     "op2_line_dedup": line_dedup.OP2_SQL,
     "op8_mixing": mixing.OP8_SQL,

@@ -158,3 +158,22 @@ def without_repeated(keyed: DataFrame, found: DataFrame, width: int = WIDTH, gra
 
 def op4(spark, sf_dir: str) -> DataFrame:
     return deduplicated(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), texts=False)
+
+
+#: DuckDB SQL for op4: every window by its words. For tables in which doc_id is unique.
+OP4_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 34)) AS i FROM d WHERE len(w) >= 35)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(i, i + 34)) AS i FROM win WHERE s IN (SELECT s FROM win GROUP BY s HAVING count(*) > 1)
+), words AS (
+  SELECT doc_id, unnest(generate_series(1, len(w))) AS i, unnest(w) AS word FROM d
+), kept AS (
+  SELECT doc_id, count(g.i) AS n, string_agg(word, ' ' ORDER BY words.i) FILTER (WHERE g.i IS NULL) AS left_over
+  FROM words LEFT JOIN gone g USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(left_over, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

@@ -228,7 +228,7 @@ def by_merge(candidates: DataFrame, docs: DataFrame, width: int, gram: int) -> D
         take = pa.array(places, pa.int64())
         return pa.Table.from_arrays([table.column("o").take(take), table.column("key").take(take), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=out.names)
 
-    dealt = common.written(located.mapInArrow(runs, schema), "suffix-runs")
+    dealt = common.written(located.mapInArrow(common.trimmed(runs), schema), "suffix-runs")
     return dealt.groupBy("deal").applyInArrow(merged, out)
 
 

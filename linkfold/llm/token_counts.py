@@ -8,6 +8,8 @@ import functools
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from . import common
+
 #: The vocabulary used where none is named.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Bounds of the memory of words seen: entries, and bytes of an entry.
@@ -112,7 +114,7 @@ def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
                 t.append(sum(map(known, found)))
             yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in kept] + [pa.array(w, pa.int64()), pa.array(t, pa.int64())], names=schema.names)
 
-    return docs.select(*[f.name for f in kept], "text").mapInArrow(run, schema)
+    return docs.select(*[f.name for f in kept], "text").mapInArrow(common.trimmed(run), schema)
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

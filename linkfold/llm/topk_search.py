@@ -29,7 +29,7 @@ def ordered(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
             cell = (x @ pivots.T).argmax(1) if len(pivots) else np.zeros(batch.num_rows, np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32))], names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(common.trimmed(run), schema)
 
 
 class Top:
@@ -132,7 +132,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, block: int = BLOC
         packs = max(1, -(-q.count() // QUERIES))
         q = packed(q.withColumn("pack", F.pmod(F.xxhash64("row"), F.lit(packs)).cast("int")), ["pack"], ["vec_id"], "<f8")
         q = q.select("pack", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
-        part = q.join(ranges, "group").select("pack", "group", "q_ids", "q_data", "ids", "data").mapInArrow(_search(dim, k, block, seeds), "query_id long, vec_id long, score long")
+        part = q.join(ranges, "group").select("pack", "group", "q_ids", "q_data", "ids", "data").mapInArrow(common.trimmed(_search(dim, k, block, seeds)), "query_id long, vec_id long, score long")
         out = part if out is None else out.unionByName(part)
     if out is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")

@@ -124,7 +124,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS, candidates: int =
                 yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), *[pa.array(x.astype(np.int64)) for x in (of_toxic, n - of_toxic)]], names=["feature", "t", "c"])
 
     rows_of = {r["toxic"] == 1: r["count"] for r in sample.groupBy((F.col("toxic") == 1).alias("toxic")).count().collect()}
-    found = sample.select("text", "toxic").mapInArrow(counted, "feature long, t long, c long").groupBy("feature").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+    found = sample.select("text", "toxic").mapInArrow(common.trimmed(counted), "feature long, t long, c long").groupBy("feature").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     # the order in which learn() takes them, so that none that it would take of all is cut
     odds = F.log((F.col("t") + 0.1) / (rows_of.get(True, 0) + 0.2)) - F.log((F.col("c") + 0.1) / (rows_of.get(False, 0) + 0.2))
     top = found.filter(F.col("t") >= SUPPORT).orderBy((odds > 1.0).desc(), (odds * F.sqrt("t")).desc(), "feature").limit(candidates).select("feature").toPandas()
@@ -137,7 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS, candidates: int =
                 ends = np.searchsorted(row, np.arange(n + 1))
                 yield pa.RecordBatch.from_arrays([pa.array(toxic[lo : lo + n].astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(index.astype(np.int32)))], names=["toxic", "found"])
 
-    table = sample.select("text", "toxic").mapInArrow(present, "toxic int, found array<int>").toArrow()
+    table = sample.select("text", "toxic").mapInArrow(common.trimmed(present), "toxic int, found array<int>").toArrow()
     label = table.column("toxic").to_numpy().astype(float)
     found = table.column("found").combine_chunks()
     found = found if isinstance(found, pa.Array) else pa.concat_arrays(found.chunks)
@@ -267,7 +267,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             p = _sigmoid(z)
             yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=schema.names)
 
-    return docs.select(*[f.name for f in kept]).mapInArrow(run, schema)
+    return docs.select(*[f.name for f in kept]).mapInArrow(common.trimmed(run), schema)
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from . import common
 
 #: Tokens that are looked at together; longer documents go by in slices of so many windows.
-SLICE = 1 << 18
+SLICE = 1 << 16
 _LOW = np.uint64((1 << 22) - 1)
 
 
@@ -121,7 +121,7 @@ def all_stretches(docs: DataFrame, kind: str, width: int, gram: int) -> DataFram
                     out += [pa.array(x.astype(np.int32)) for x in (first, last, anchor)] + [pa.array(x.view(np.int64)) for x in (gr, whole)]
                     yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
-    return docs.select("o", "key", "text").mapInArrow(run, schema)
+    return docs.select("o", "key", "text").mapInArrow(common.trimmed(run), schema)
 
 
 def judged(found: DataFrame, kept: list[str], weight: Column) -> tuple[DataFrame, DataFrame]:
@@ -210,7 +210,7 @@ def by_window(candidates: DataFrame, docs: DataFrame, kind: str, width: int, gra
         out = [batch.column("o").take(take), batch.column("key").take(take), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), pa.array(group.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(col["n"][of]), lists]
         return pa.RecordBatch.from_arrays(out, names=schema.names)
 
-    blocks = common.written(located.mapInArrow(run, schema), "blocks")
+    blocks = common.written(located.mapInArrow(common.trimmed(run), schema), "blocks")
     whole, mixed = judged(blocks, ["o", "key", "first", "windows"], F.col("n"))
     windows = mixed.select("o", "key", "first", "gram", "n", F.posexplode("windows").alias("i", "window"))
     same = windows.groupBy("gram", "window").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("gram", "window")
@@ -255,4 +255,4 @@ def without(docs: DataFrame, ranges: DataFrame, kind: str, width: int, texts: bo
             out = [batch.column("doc_id"), *[pa.array(x, pa.int64()) for x in (n, removed, spans)], pa.array(digests, pa.string()), *([pa.array(kept, pa.binary())] if texts else [])]
             yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
-    return d.mapInArrow(run, schema)
+    return d.mapInArrow(common.trimmed(run), schema)
