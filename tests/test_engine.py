@@ -212,6 +212,64 @@ def test_stream_sync(spark, tmp_path):
     assert heard == [[("b", "add")]] and store.commits().count() == 2
 
 
+def test_emit_comes_after_the_links_and_again_if_it_fails(spark, tmp_path):
+    shared, heard = f"file://{tmp_path}/pod", []
+    a = Engine(spark, f"file://{tmp_path}/a", shared, "did:a")
+    a.commit(frame(spark, [link("x"), link("y")]), timestamp=T0)
+
+    def emit(change):
+        heard.append((sorted(r.target for r in change.collect()), targets(b.render())))
+        if len(heard) == 1:
+            raise OSError("gone")
+
+    b = Engine(spark, f"file://{tmp_path}/b", shared, "did:b", emit=emit)
+    with pytest.raises(OSError):
+        b.sync()
+    assert sorted(r.target for r in b.sync().collect()) == ["x", "y"]
+    assert heard == [(["x", "y"], ["x", "y"])] * 2
+    assert b.sync() is None and len(heard) == 2
+    # a commit of others that touches one link leaves the rest of the table as it is
+    a.commit(removals=frame(spark, [link("x")]), timestamp=T0)
+    b.sync()
+    assert targets(b.render()) == targets(b.refold()) == ["y"]
+
+
+def test_large_diffs_become_several_commits(spark, tmp_path, monkeypatch):
+    from linkfold import engine
+
+    monkeypatch.setattr(engine, "LINKS", 5)
+    e = Engine(spark, f"file://{tmp_path}/e")
+    first = e.commit(frame(spark, [link(f"t{i}") for i in range(12)]), timestamp=T0)
+    assert e.store.commits().count() == 3 and e.store.has_commit(first)
+    assert targets(e.render()) == sorted(f"t{i}" for i in range(12))
+
+
+def test_folds_agree_on_links_added_twice(spark):
+    rows = commits(spark, [([link("a", signature="1")], [], []), ([link("a", signature="2")], [], [])]).withColumn("ord", F.lit(7).cast("long"))
+    for order in (["commit_hash"], [F.col("commit_hash").desc()]):
+        assert [r.proof.signature for r in history.fold(rows.orderBy(*order)).collect()] == ["2"]
+
+
+def test_control_characters_are_hashed_as_others_write_them(spark):
+    import hashlib
+    import json
+
+    from linkfold.functions import hashing
+
+    for c in range(0x20):
+        parts = [f"a{chr(c)}b", "p\\u000B", "t", "did:a", T0]
+        want = hashlib.sha256(json.dumps(parts, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest()
+        assert spark.createDataFrame([tuple(parts)], "source string, predicate string, target string, author string, timestamp string").select(hashing.link_hash()).collect()[0][0] == want, c
+
+
+def test_ancestors_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(f"c{i}", f"c{i - 1}") for i in range(1, 70)], "child string, parent string")
+    start = spark.createDataFrame([("c69",)], "commit_hash string")
+    assert history.ancestors(start, edges).count() == 70
+    known = spark.createDataFrame([("c40",)], "commit_hash string")
+    assert sorted(r.commit_hash for r in history.ancestors(start, edges, known).collect()) == sorted(f"c{i}" for i in range(41, 70))
+
+
 def test_table_function(spark):
     turtle.register(spark)
     assert spark.sql("SELECT * FROM parse_turtle('<a> <b> <c> .', '')").collect()[0].object == "c"

@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from linkfold.plans.queries import ORACLE, QUERIES
 
@@ -36,6 +37,27 @@ def test_query(spark, duck, name):
     assert got[1], "a query that finds nothing shows nothing"
 
 
-def test_filters_reach_the_scan(spark):
+def test_filters_reach_the_scan(spark, tmp_path):
+    """A pattern query reads the copy that is ordered by what it asks for, and the scan gets the filter."""
+    from linkfold.engine import Engine
+    from linkfold.operators import links
+    from linkfold.plans import mapping
+    from linkfold.plans.engine_queries import _full_links
+
+    engine = Engine(spark, f"file://{tmp_path}/engine")
+    engine.store.replace_links(links.with_hash(_full_links(mapping.chat_links(spark, DATA))))
+    for asked, copy in (({"target": "flux://has_message"}, "by-target"), ({"source": "conv://1"}, "by-source"), ({"source": "conv://1", "target": "x"}, "by-source")):
+        query = engine.query("link-pattern", **asked)
+        plan = query._jdf.queryExecution().executedPlan().toString()
+        assert all(copy in f for f in query.inputFiles()) and "Exchange" not in plan
+        for column, value in asked.items():
+            assert f"EqualTo({column},{value})" in plan
+    for by in ("source", "target"):
+        # ranges of files do not overlap, so one value is in few of them
+        spans = engine.store.links(by).groupBy(F.input_file_name()).agg(F.min(by).alias("lo"), F.max(by).alias("hi")).orderBy("lo").collect()
+        assert all(a.hi <= b.lo for a, b in zip(spans, spans[1:], strict=False))
+
+
+def test_plans_join_without_pairs_or_rows_in_python(spark):
     plan = QUERIES["fold_links"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "BatchEvalPython" not in plan
