@@ -69,6 +69,20 @@ class Engine:
             self._profiles = found if any(p.native_type == POST for p in found) else [*found, chat_profile(POST, CONTENT)]
         return self._profiles
 
+    def interactions(self) -> list[str]:
+        """There are none."""
+        return []
+
+    def close(self) -> None:
+        """Forget what is kept in memory; the tables stay, and a new engine goes on with them."""
+        self._profiles = None
+
+    def __enter__(self) -> Engine:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
     # writing
 
     def commit(self, additions: DataFrame | None = None, removals: DataFrame | None = None, timestamp: str | None = None, project: bool = True) -> str:

@@ -90,6 +90,11 @@ def contained(container, value) -> Column:
     )
 
 
+def resource_base(address) -> Column:
+    """The base of an instance that a resource holds: its address as it stands."""
+    return address if isinstance(address, Column) else F.col(address)
+
+
 def without_query(url) -> Column:
     return F.regexp_replace(_col(url), "[?#].*$", "")
 

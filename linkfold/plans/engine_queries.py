@@ -90,6 +90,17 @@ def peers(spark, d):
     return store.peers().select("did")
 
 
+@query("key_values", "SELECT 'seg/' || c_mktsegment || '/' || c_custkey AS key, CASE WHEN c_custkey % 3 = 0 THEN 'new' ELSE c_name END AS value FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey % 5 <> 0")
+def key_values(spark, d):
+    """Values by key: put, put again, deleted, and found by a prefix."""
+    store, key = Store(spark, _folder(spark, "store")), F.concat(F.lit("seg/"), "c_mktsegment", F.lit("/"), F.col("c_custkey").cast("string")).alias("key")
+    customers = M._table(spark, d, "customer")
+    store.put_values(customers.select(key, F.col("c_name").alias("value")))
+    store.put_values(customers.filter("c_custkey % 3 = 0").select(key, F.lit("new").alias("value")))
+    store.put_values(customers.filter("c_custkey % 5 = 0").select(key, F.lit(None).cast("string").alias("value")))
+    return store.values("seg/BUILDING/")
+
+
 @query("build_commits", f"{COMMITS} SELECT 'did:user:' || user_id AS author, day || 'T00:00:00.000Z' AS timestamp, {_hash(chr(39) + '[]' + chr(39))} AS commit_hash FROM numbered")
 def build_commits(spark, d):
     """Diffs without parents as commits."""
@@ -339,6 +350,11 @@ def pattern_kinds(spark, d):
     return M.chat_links(spark, d).select("target", p["type"].alias("type"), p["mentionedAgent"].alias("mentioned"))
 
 
+@query("resource_bases", "SELECT page_id, url AS base FROM pages")
+def resource_bases(spark, d):
+    return M._table(spark, d, "pages").select("page_id", uris.resource_base("url").alias("base"))
+
+
 @query("base64url", "SELECT p_partkey, rtrim(replace(replace(to_base64(encode(p_name)), '+', '-'), '/', '_'), '=') AS name FROM part")
 def base64url(spark, d):
     return M._table(spark, d, "part").select("p_partkey", uris.base64url(F.col("p_name").cast("binary")).alias("name"))

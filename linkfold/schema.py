@@ -20,4 +20,5 @@ INSTANCES = columns(base="string", author="string", timestamp="string", properti
 #: A scalar that is a string, a number or a boolean; null stands for no value.
 EVAL = columns(kind="string", s="string", n="double", b="boolean")
 PEERS = columns(did="string", metadata="string", is_local="boolean")
+VALUES = columns(key="string", value="string", at="long")
 VERSIONS = columns(version="string", at="long")

@@ -99,6 +99,27 @@ class Store:
         self.spark.createDataFrame([(version, at)], "version string, at long").coalesce(1).write.mode("append").parquet(f"{self.root}/links-version")
         return self.links()
 
+    def put_values(self, rows: DataFrame) -> None:
+        """Store rows(key, value); a null value deletes its key. Of a key the row put last counts."""
+        at = (self._read("values", schema.VALUES).agg(F.max("at")).collect()[0][0] or 0) + 1
+        rows.select("key", "value", F.lit(at).cast("long").alias("at")).write.mode("append").parquet(f"{self.root}/values")
+
+    def values(self, prefix: str = "") -> DataFrame:
+        """(key, value) of the keys that start with prefix; the scan takes the filter."""
+        rows = self._read("values", schema.VALUES).filter(F.startswith("key", F.lit(prefix)))
+        last = rows.groupBy("key").agg(F.max_by(F.struct("value"), "at").alias("v"))
+        return last.select("key", "v.value").filter("value is not null")
+
+    def put(self, key: str, value: str | None) -> None:
+        self.put_values(self.spark.createDataFrame([(key, value)], "key string, value string"))
+
+    def get(self, key: str) -> str | None:
+        rows = self.values(key).filter(F.col("key") == key).collect()
+        return rows[0].value if rows else None
+
+    def delete(self, key: str) -> None:
+        self.put(key, None)
+
     def peers(self) -> DataFrame:
         """The last row of each peer that is not removed."""
         rows = self._read("peers", T.StructType([*schema.PEERS.fields, T.StructField("at", T.LongType())]))

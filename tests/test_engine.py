@@ -168,6 +168,13 @@ def test_store(spark, tmp_path):
     assert store.commits().count() == 0 and store.peers().count() == 0
     g = commits(spark, [([link("a")], [], [])])
     assert store.append_commits(g).count() == 1 and store.append_commits(g).count() == 0 and store.has_commit("c0")
+    store.put("k/1", "a")
+    store.put("k/1", "b")
+    store.put("k/2", "c")
+    store.delete("k/2")
+    assert (store.get("k/1"), store.get("k/2"), store.get("k")) == ("b", None, None) and [r.key for r in store.values("k/").collect()] == ["k/1"]
+    with Engine(spark, f"file://{tmp_path}/other") as e:
+        assert e.interactions() == [] and e.supported_kinds() == ["link-pattern"]
     store.set_peer("did:1", {"x": 1})
     store.set_peer("did:2")
     store.remove_peer("did:2")
