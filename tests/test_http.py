@@ -1,6 +1,7 @@
 import base64
 import json
 
+from linkfold.constants import PREVIOUS
 from linkfold.settings import Settings
 from linkfold.sources.http import Credentials, Documents, Response, base64url
 
@@ -44,7 +45,7 @@ def test_mirror():
 
 def test_mirror_fetches_parents_that_are_not_listed():
     server, got = Server(), {}
-    commit = "<> <https://ad4m.dev/ontology#previous> {} ."
+    commit = f"<> <{PREVIOUS}> {{}} ."
     server.held = {"http://p/d/": "<> ldp:contains <diff-c3.ttl> .", "http://p/d/diff-c3.ttl": commit.format('"c2", "c0"'), "http://p/d/diff-c2.ttl": commit.format('"c1"'), "http://p/d/diff-c1.ttl": commit.format('"gone"'), "http://p/d/diff-c0.ttl": "known"}
     assert Documents(server).mirror("http://p/d/", got.__setitem__, {"diff-c0.ttl"}) == 3
     assert sorted(got) == ["diff-c1.ttl", "diff-c2.ttl", "diff-c3.ttl"]
