@@ -115,7 +115,7 @@ class Engine:
         if advance(self.store, own, self.hash) is None and not diff.isEmpty() and name:
             own(diff)
         if self.shared and self.settings.publishes:
-            turtle = rdf.to_turtle(rdf.commit_triples(new, self.hash)).withColumnRenamed("doc", "name")
+            turtle = rdf.commit_turtle(new, self.hash).withColumnRenamed("doc", "name")
             pod.publish(turtle, f"{self.shared}/diffs")
             if project:
                 self.project_diff(added, ord0 + 1)

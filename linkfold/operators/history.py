@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import schema
 from ..functions import hashing as H
 
 
@@ -82,6 +83,25 @@ def touched_folds(known: DataFrame, new: DataFrame, hash: H.Hash = H.sha256) ->
     return touched, fold_rows(old_added, old_removed), fold_rows(old_added.unionByName(added), old_removed.unionByName(removed))
 
 
+def both_folds(known: DataFrame, new: DataFrame, hash: H.Hash = H.sha256) -> DataFrame:
+    """(link_hash, before, after) of each hash that the new commits touch: its rows in the folds without them and with them,
+    null where a fold does not have it. touched_folds() in one aggregate."""
+    add = lambda df, late: additions(df, hash).select("link_hash", F.lit(late).alias("late"), F.struct("ord", "commit_hash", "pos").alias("at"), F.struct(*schema.LINK.names).alias("row"))
+    gone = lambda df, late: removals(df).select("link_hash", F.lit(late).alias("late"), F.lit(None).alias("at"), F.lit(None).alias("row"))
+    late = add(new, True).unionByName(gone(new, True))
+    early = add(known, False).unionByName(gone(known, False)).join(late.select("link_hash"), "link_hash", "left_semi")
+    added, last = F.col("row").isNotNull(), lambda own: F.max_by(F.when(own, F.col("row")), F.when(own, F.col("at")))
+    by = early.unionByName(late).groupBy("link_hash")
+    folds = by.agg(last(added & ~F.col("late")).alias("before"), last(added).alias("after"), F.max(~added & ~F.col("late")).alias("_gone"), F.max(~added).alias("_ever"))
+    return folds.select("link_hash", F.when(~F.col("_gone"), F.col("before")).alias("before"), F.when(~F.col("_ever"), F.col("after")).alias("after"))
+
+
+def one_sided(folds: DataFrame) -> DataFrame:
+    """delta() of both_folds()."""
+    one = folds.filter(F.col("before").isNull() != F.col("after").isNull())
+    return one.select("link_hash", F.coalesce("after", "before").alias("_row"), F.when(F.col("after").isNotNull(), F.lit("add")).otherwise(F.lit("remove")).alias("op")).select("link_hash", "_row.*", "op")
+
+
 def incremental_delta(known: DataFrame, new: DataFrame, hash: H.Hash = H.sha256) -> DataFrame:
     """delta(fold(known), fold(known + new)) from the hashes alone that the new commits touch."""
     _, before, after = touched_folds(known, new, hash)
@@ -142,14 +162,15 @@ def _cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def chain_hashes(steps: DataFrame, chain: str, order: str, hash: H.Hash = H.sha256) -> DataFrame:
+def chain_hashes(steps: DataFrame, chain: str, order: str, hash: H.Hash = H.sha256, carried: tuple[str, ...] = ()) -> DataFrame:
     """Commit hashes of linear histories: each commit names the one before it in its chain.
 
     steps has chain, order, add_hashes and remove_hashes (arrays), author and timestamp. A chain is hashed in one pass over
-    its ordered steps; a chain is one row, so its length is to be bounded (a user's days, a branch).
+    its ordered steps; a chain is one row, so its length is to be bounded (a user's days, a branch). Columns named by
+    carried are given on with the commits of their steps.
     """
-    step = F.struct(order, "add_hashes", "remove_hashes", "author", "timestamp")
-    chains = steps.groupBy(chain).agg(F.array_sort(F.collect_list(step)).alias("steps"))
+    step = F.struct(order, "add_hashes", "remove_hashes", "author", "timestamp", *carried)
+    chains = steps.groupBy(chain).agg(F.sort_array(F.collect_list(step)).alias("steps"))
     empty = F.array().cast(f"array<struct<{order}:{steps.schema[order].dataType.simpleString()},commit_hash:string,previous:array<string>>>")
 
     def extend(done, x):
@@ -157,4 +178,8 @@ def chain_hashes(steps: DataFrame, chain: str, order: str, hash: H.Hash = H.sha2
         h = H.commit_hash(x["add_hashes"], x["remove_hashes"], before, x["author"], x["timestamp"], hash)
         return F.concat(done, F.array(F.struct(x[order].alias(order), h.alias("commit_hash"), before.alias("previous"))))
 
-    return chains.select(chain, F.inline(F.aggregate("steps", empty, extend)))
+    if not carried:
+        return chains.select(chain, F.inline(F.aggregate("steps", empty, extend)))
+    hashed = chains.select(chain, F.col("steps"), F.aggregate("steps", empty, extend).alias("done"))
+    rows = hashed.select(chain, F.inline(F.arrays_zip("done", "steps")))
+    return rows.select(chain, "done.*", *[F.col(f"steps.{c}").alias(c) for c in carried])

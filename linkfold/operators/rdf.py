@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import itertools
+
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import constants as C
 from ..functions import hashing as H
 from ..functions.uris import compact_uri, prefix_block
-from ..sources.turtle import parse_turtle
+from ..sources.turtle import parse, parse_turtle, read_written
 
 
 def _col(c) -> Column:
@@ -122,6 +127,93 @@ def commit_triples(commits: DataFrame, hash: H.Hash = H.sha256) -> DataFrame:
     return commits.select(F.col("commit_hash").alias("doc"), F.posexplode(F.concat(own, parents, adds, gone, add_links, gone_links)).alias("ord", "t")).select("doc", "ord", "t.*")
 
 
+#: Characters of the texts, or of those whose commits, a task gives on together.
+TEXT = 1 << 22
+
+
+def commit_turtle(commits: DataFrame, hash: H.Hash = H.sha256) -> DataFrame:
+    """(doc, turtle): to_turtle(commit_triples(commits)), each text made of its commit's row alone, without an exchange."""
+    h = lambda x: H.link_hash(x["source"], x["predicate"], x["target"], x["author"], x["timestamp"], hash)
+    whole = commits.filter("previous is not null and additions is not null and removals is not null")
+    rows = whole.select("commit_hash", "author", "timestamp", F.array_sort("previous").alias("previous"), F.transform("additions", h).alias("hashes"), "additions", "removals")
+
+    def run(batches):
+        for batch in batches:
+            texts, size, names = [], 0, batch.column("commit_hash").to_pylist()
+            lists = [_lists(batch.column(c)) for c in ("previous", "hashes", "additions")]
+            gone = batch.column("removals")
+            lists += [_cut_up(gone, gone.flatten().flatten()[0].to_pylist()), _cut_up(gone, _links(gone.flatten().flatten()[1]))]
+            start = 0
+            for i, row in enumerate(zip(batch.column("author").to_pylist(), batch.column("timestamp").to_pylist(), *lists, strict=True)):
+                texts.append(_commit_text(*row))
+                size += len(texts[-1])
+                if size > TEXT or i == len(names) - 1:
+                    yield pa.RecordBatch.from_arrays([pa.array(names[start : i + 1], pa.string()), pa.array(texts, pa.string())], names=["doc", "turtle"])
+                    texts, size, start = [], 0, i + 1
+
+    return rows.mapInArrow(run, "doc string, turtle string")
+
+
+def _links(found: pa.StructArray) -> list[tuple]:
+    """(source, predicate, target, author, timestamp, signature, key) of each link."""
+    *parts, proof, _ = found.flatten()
+    return list(zip(*(x.to_pylist() for x in (*parts, *proof.flatten())), strict=True))
+
+
+def _cut_up(lists: pa.ListArray, values: list):
+    """The values, flat so far, list by list."""
+    at = 0
+    for n in pa.compute.list_value_length(lists).to_pylist():
+        yield values[at : at + n]
+        at += n
+
+
+def _lists(lists: pa.ListArray):
+    flat = lists.flatten()
+    return _cut_up(lists, _links(flat) if pa.types.is_struct(flat.type) else flat.to_pylist())
+
+
+def _term_text(uri: str) -> str:
+    """format_term()"""
+    if uri.startswith(_NAMESPACES):
+        for prefix, ns in C.PREFIXES.items():
+            if uri.startswith(ns):
+                return f"{prefix}:{uri[len(ns):]}"
+    return f"<{uri}>"
+
+
+def _literal_text(value: str | None, datatype: str = "") -> str:
+    """format_literal() behind a space; a null adds nothing to its predicate."""
+    return "" if value is None else ' "' + value.replace("\\", "\\\\").replace('"', '\\"') + '"' + datatype
+
+
+_HEAD = prefix_block() + "\n\n"
+_NAMESPACES = tuple(C.PREFIXES.values())
+_WRITTEN = {p: _term_text(p) for p in (C.AUTHOR, C.TIMESTAMP, C.PREVIOUS, C.ADDITION, C.REMOVAL, C.LINK_HASH, C.REMOVES_HASH, C.RDF_SUBJECT, C.RDF_PREDICATE, C.RDF_OBJECT, C.SIGNATURE, C.KEY, C.LINK, C.TOMBSTONE, C.COMMIT)}
+_DATETIME = "^^" + _term_text(C.XSD_DATETIME)
+
+
+def _commit_text(author, timestamp, previous, hashes, additions, removes, removals) -> str:
+    """The text of one commit, with the links as _links() gives them: what commit_triples() and to_turtle() say."""
+    w, blocks = _WRITTEN, {}
+    root = [f"a {w[C.COMMIT]}", w[C.AUTHOR] + _literal_text(author), w[C.TIMESTAMP] + _literal_text(timestamp, _DATETIME)]
+    root += [w[C.PREVIOUS] + _literal_text(p) for p in previous]
+    for kind, named, by, prefix, names, links in ((C.LINK, C.ADDITION, C.LINK_HASH, "#add-", hashes, additions), (C.TOMBSTONE, C.REMOVAL, C.REMOVES_HASH, "#rm-", removes, removals)):
+        for name, (source, predicate, target, by_whom, at, signature, key) in zip(names, links, strict=True):
+            if name is None:  # a node without a name is none
+                root.append(w[named])
+                continue
+            node = prefix + name
+            root.append(f"{w[named]} <{node}>")
+            pairs = blocks.setdefault(node, [])  # a node that stands twice has one block
+            pairs += [f"a {w[kind]}", w[by] + _literal_text(name), f"{w[C.RDF_SUBJECT]} {_term_text(source or '')}", f"{w[C.RDF_PREDICATE]} {_term_text(predicate or '')}", f"{w[C.RDF_OBJECT]} {_term_text(target or '')}", w[C.AUTHOR] + _literal_text(by_whom), w[C.TIMESTAMP] + _literal_text(at, _DATETIME)]
+            if signature:
+                pairs.append(w[C.SIGNATURE] + _literal_text(signature))
+            if key:
+                pairs.append(w[C.KEY] + _literal_text(key))
+    return _HEAD + "\n\n".join([f"{s} " + " ;\n    ".join(p) + " ." for s, p in [("<>", root), *((f"<{n}>", p) for n, p in blocks.items())]])
+
+
 def commits_from_triples(triples: DataFrame) -> DataFrame:
     """(doc, author, timestamp, previous, additions, removals) of the documents that hold a commit.
 
@@ -158,6 +250,87 @@ def commits_from_triples(triples: DataFrame) -> DataFrame:
     )
 
 
+def commits_from_turtle(found: DataFrame) -> DataFrame:
+    """commits_from_triples() of the texts of found(name, doc, turtle), with commit_hash (the name) instead of doc.
+
+    A commit is one text: each is read once, and its commit made where it is read, so no triple leaves the reader.
+    """
+    from ..schema import COMMITS
+
+    fields = [f for f in COMMITS.fields if f.name != "ord"]
+
+    def run(batches):
+        for batch in batches:
+            rows, size = [], 0
+            for name, doc, text in zip(*(batch.column(c) for c in ("name", "doc", "turtle")), strict=True):
+                doc, text = doc.as_py(), text.as_py()
+                row = None if doc is None or not text else _commit(read_written(text, doc) or [t[:3] for t in parse(text, doc)], doc)
+                if row:
+                    rows.append((name.as_py(), *row))
+                    size += len(text)
+                if size > TEXT:
+                    yield _commit_batch(rows)
+                    rows, size = [], 0
+            if rows:
+                yield _commit_batch(rows)
+
+    return found.select("name", "doc", "turtle").mapInArrow(run, T.StructType(fields))
+
+
+def _commit(triples: list[tuple[str, str, str]], doc: str) -> tuple | None:
+    """Author, timestamp, parents, added links and tombstones of the commit that triples hold, by the rules of
+    commits_from_triples()."""
+    nodes: dict[str, list] = {}
+    roots = [None, None]
+    for s, p, o in triples:
+        nodes.setdefault(s, []).append((p, o))
+        if p == C.RDF_TYPE and o == C.COMMIT:
+            far = s != "" and s != doc
+            if roots[far] is None:
+                roots[far] = s
+    root = roots[0] if roots[0] is not None else roots[1]
+    if root is None:
+        return None
+    author = timestamp = None
+    previous, adds, gone = [], [], []
+    for p, o in nodes[root]:
+        if p == C.AUTHOR:
+            author = o if author is None else author
+        elif p == C.TIMESTAMP:
+            timestamp = o if timestamp is None else timestamp
+        elif p == C.PREVIOUS:
+            previous.append(o)
+        elif p in (C.ADDITION, C.REMOVAL) and o in nodes:
+            first = dict(reversed(nodes[o]))  # of several objects the first one stays
+            if C.RDF_SUBJECT in first and C.RDF_PREDICATE in first and C.RDF_OBJECT in first:
+                link = tuple(first.get(x, "") for x in PARTS.values())
+                if p == C.ADDITION:
+                    adds.append(link)
+                elif first.get(C.REMOVES_HASH):
+                    gone.append((first[C.REMOVES_HASH], *link))
+    return author or "", timestamp or "", previous, adds, gone
+
+
+def _commit_batch(rows: list[tuple]) -> pa.RecordBatch:
+    """Commits (name, author, timestamp, parents, added links, tombstones) as columns."""
+    text = lambda values: pa.array(values, pa.string())
+
+    def listed(at: int, build) -> pa.Array:
+        offsets = pa.array([0, *itertools.accumulate(len(r[at]) for r in rows)], pa.int32())
+        return pa.ListArray.from_arrays(offsets, build([x for r in rows for x in r[at]]))
+
+    def links(found: list[tuple]) -> pa.Array:
+        source, predicate, target, author, timestamp, signature, key = map(text, zip(*found, strict=True) if found else [[]] * 7)
+        proof = pa.StructArray.from_arrays([signature, key], ["signature", "key"])
+        return pa.StructArray.from_arrays([source, predicate, target, author, timestamp, proof, pa.nulls(len(found), pa.string())], ["source", "predicate", "target", "author", "timestamp", "proof", "status"])
+
+    def tombstones(found: list[tuple]) -> pa.Array:
+        return pa.StructArray.from_arrays([text([x[0] for x in found]), links([x[1:] for x in found])], ["link_hash", "link"])
+
+    columns = [*(text([r[i] for r in rows]) for i in range(3)), listed(3, text), listed(4, links), listed(5, tombstones)]
+    return pa.RecordBatch.from_arrays(columns, names=["commit_hash", "author", "timestamp", "previous", "additions", "removals"])
+
+
 def document_triples(links: DataFrame, strategy: str = "reified", hash: H.Hash = H.sha256) -> DataFrame:
     """Triples of links(doc, ord, link columns): what each document that holds them says, in their order.
 

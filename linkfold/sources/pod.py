@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.uris import contained, name_of
-from ..operators.rdf import commits_from_triples
-from .turtle import parse_turtle
+from ..operators.rdf import commits_from_turtle
 
 RESOURCES = "name string, turtle string"
 
@@ -45,8 +44,7 @@ def listing(triples: DataFrame, container: str, kind: str) -> DataFrame:
 
 def read_commits(found: DataFrame) -> DataFrame:
     """Commits (without ord) of resources; what is none, or cannot be read, is left out."""
-    commits = commits_from_triples(parse_turtle(found))
-    return commits.join(found.select("doc", F.col("name").alias("commit_hash")), "doc").drop("doc")
+    return commits_from_turtle(found)
 
 
 def publish(turtle: DataFrame, folder: str) -> DataFrame:

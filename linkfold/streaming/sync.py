@@ -26,10 +26,13 @@ def advance(store: Store, emit: Emit, hash: H.Hash = H.sha256) -> DataFrame | No
     old, new, batches = store.pending()
     if not batches:
         return None
-    touched, before, after = history.touched_folds(old, new, hash)
-    store.replace_links(store.links().join(touched, "link_hash", "left_anti").unionByName(after, allowMissingColumns=True))
     path = f"{store.root}/changes/{'-'.join(sorted(batches))[:64]}"
-    history.delta(before, after).write.mode("overwrite").parquet(path)
+    # the folds of each touched hash, made once for the links and for the change
+    history.both_folds(old, new, hash).write.mode("overwrite").parquet(f"{path}-folds")
+    folds = store.spark.read.parquet(f"{path}-folds")
+    after = folds.filter("after is not null").select("link_hash", "after.*")
+    store.replace_links(store.links().join(folds.select("link_hash"), "link_hash", "left_anti").unionByName(after, allowMissingColumns=True))
+    history.one_sided(folds).write.mode("overwrite").parquet(path)
     change = store.spark.read.parquet(path)
     some = not change.isEmpty()
     if some:
@@ -45,7 +48,8 @@ def sync_batch(store: Store, found: DataFrame, emit: Emit, hash: H.Hash = H.sha2
     not have the hash it is named by is left out.
     """
     known = store.commits()
-    commits = read_commits(found).join(known.select("commit_hash"), "commit_hash", "left_anti")
+    # a commit is named by its hash, so what is known is never read
+    commits = read_commits(found.join(known.select(F.col("commit_hash").alias("name")), "name", "left_anti"))
     if verify:
         of = lambda x: H.link_hash(x["source"], x["predicate"], x["target"], x["author"], x["timestamp"], hash)
         commits = commits.filter(F.col("commit_hash") == H.commit_hash(F.transform("additions", of), F.transform("removals", lambda t: t["link_hash"]), "previous", hash=hash))
