@@ -54,11 +54,15 @@ def event_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def before():
+    """The events of a user before each of them."""
+    return Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, -1)
+
+
 def event_diffs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Added links of all events but errors; tombstones: an error removes its user's last link before it."""
     e = event_links(spark, sf_dir).withColumn("link_hash", H.link_hash())
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, -1)
-    e = e.withColumn("last", F.last(F.when(F.col("event_type") != "error", F.col("link_hash")), ignorenulls=True).over(w))
+    e = e.withColumn("last", F.last(F.when(F.col("event_type") != "error", F.col("link_hash")), ignorenulls=True).over(before()))
     added = e.filter("event_type != 'error'").drop("last")
     removed = e.filter("event_type = 'error' and last is not null").select("user_id", "ts", F.col("last").alias("link_hash"))
     return added, removed

@@ -426,14 +426,16 @@ def turtle_parse(spark, d):
 
 def _day_commits(spark: SparkSession, d: str) -> DataFrame:
     """Commits of the events, in full: one for each user and day."""
-    added, removed = M.event_diffs(spark, d)
     link = F.struct(*LINK, F.struct(F.lit("s").alias("signature"), F.lit("k").alias("key")).alias("proof"), F.lit(None).cast("string").alias("status"))
     day = F.date_format("ts", "yyyy-MM-dd").alias("day")
-    adds = added.select("user_id", day, F.col("event_id"), link.alias("link"), "link_hash")
-    gone = removed.select("user_id", day, "link_hash").join(adds.select("link_hash", "link"), "link_hash")
-    a = adds.groupBy("user_id", "day").agg(F.sort_array(F.collect_list(F.struct("event_id", "link"))).alias("a"))
-    g = gone.groupBy("user_id", "day").agg(F.array_sort(F.collect_list(F.struct("link_hash", "link"))).alias("g"))
-    rows = M.event_commits(spark, d).join(a, ["user_id", "day"], "left").join(g, ["user_id", "day"], "left")
+    # one window by user: an error finds the link that it removes with its hash, so no join looks it up
+    e = M.event_links(spark, d).withColumn("own", F.when(F.col("event_type") != "error", F.struct(H.link_hash().alias("link_hash"), link.alias("link"))))
+    e = e.select("user_id", day, "event_id", "event_type", "own", F.when(F.col("event_type") == "error", F.last("own", ignorenulls=True).over(M.before())).alias("gone"))
+    e = e.filter("own is not null or gone is not null")
+    added = F.when(F.col("own").isNotNull(), F.struct("event_id", F.col("own.link").alias("link")))
+    steps = e.groupBy("user_id", "day").agg(F.sort_array(F.collect_list(added)).alias("a"), F.sort_array(F.collect_list("gone")).alias("g"), F.sort_array(F.collect_list("own.link_hash")).alias("add_hashes"))
+    steps = steps.withColumns({"remove_hashes": F.col("g.link_hash"), "author": F.concat(F.lit("did:user:"), "user_id"), "timestamp": F.concat("day", F.lit("T00:00:00.000Z"))})
+    rows = history.chain_hashes(steps, "user_id", "day", carried=("a", "g"))
     from ..schema import COMMITS as S
 
     return rows.select(
@@ -441,8 +443,8 @@ def _day_commits(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit("did:user:"), "user_id").alias("author"),
         F.concat("day", F.lit("T00:00:00.000Z")).alias("timestamp"),
         "previous",
-        F.coalesce(F.transform("a", lambda x: x["link"]), F.array().cast(S["additions"].dataType)).cast(S["additions"].dataType).alias("additions"),
-        F.coalesce(F.col("g"), F.array().cast(S["removals"].dataType)).cast(S["removals"].dataType).alias("removals"),
+        F.col("a.link").cast(S["additions"].dataType).alias("additions"),
+        F.col("g").cast(S["removals"].dataType).alias("removals"),
         F.lit(0).cast("long").alias("ord"),
     )
 
