@@ -32,6 +32,15 @@ def ordered(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
     return rows.mapInArrow(common.trimmed(run), schema)
 
 
+def least_hashes(rows: DataFrame, n: int) -> DataFrame:
+    """Some four times n of rows(row, ...), the n of least hash among them; all, if there are not more.
+
+    Each task sends what it finds to the driver, n rows at most: of many tasks that would be more than the driver holds.
+    """
+    share = 4 * n / max(1, rows.count())
+    return rows if share >= 1 else rows.filter(F.xxhash64("row") < F.lit(int((share * 2 - 1) * 2**63)))
+
+
 class Top:
     """The k best candidates so far of each query of a pack. floor: a score that k candidates of each query are known to have."""
 
@@ -116,7 +125,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, block: int = BLOC
     out = None
     for (dim,) in vectors.select("dim").distinct().collect():
         x = vectors.filter(F.col("dim") == dim).select("vec_id", "v", "row")
-        picked = x.orderBy(F.xxhash64("row")).limit(max(SEED, PIVOTS)).collect()
+        picked = least_hashes(x, max(SEED, PIVOTS)).orderBy(F.xxhash64("row")).limit(max(SEED, PIVOTS)).collect()
         seeds = np.array([r.vec_id for r in picked], np.int64), np.array([r.v for r in picked], float)
         sample = seeds[1][:PIVOTS]
         pivots = sample / np.maximum(np.linalg.norm(sample, axis=1, keepdims=True), 1e-9)
@@ -132,7 +141,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, block: int = BLOC
         packs = max(1, -(-q.count() // QUERIES))
         q = packed(q.withColumn("pack", F.pmod(F.xxhash64("row"), F.lit(packs)).cast("int")), ["pack"], ["vec_id"], "<f8")
         q = q.select("pack", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
-        part = q.join(ranges, "group").select("pack", "group", "q_ids", "q_data", "ids", "data").mapInArrow(common.trimmed(_search(dim, k, block, seeds)), "query_id long, vec_id long, score long")
+        # never broadcast: the packs stand once for each group, which no estimate of their size counts
+        part = q.hint("merge").join(ranges, "group").select("pack", "group", "q_ids", "q_data", "ids", "data").mapInArrow(common.trimmed(_search(dim, k, block, seeds)), "query_id long, vec_id long, score long")
         out = part if out is None else out.unionByName(part)
     if out is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")

@@ -100,3 +100,12 @@ def test_op6_takes_every_row(spark, tmp_path):
         s = sorted((-int(np.dot(a, b)), j) for i, a in data if i == q for j, b in data if j != q)[:20]
         want += [(q, n + 1, j, -c) for n, (c, j) in enumerate(s)]
     assert got == sorted(want)
+
+
+def test_top_k_sends_the_driver_neither_packs_nor_a_sample_of_every_task(spark):
+    df = spark.createDataFrame([(i, [float(z) for z in v]) for i, v in enumerate(np.floor(vectors() * 4))], "vec_id long, v array<double>")
+    assert "Broadcast" not in topk_search.top_k(df, df.filter("vec_id % 20 = 0"))._jdf.queryExecution().executedPlan().toString()
+    rows = spark.range(0, 40_000, 1, 20).withColumnRenamed("id", "row")
+    few, least = topk_search.least_hashes(rows, 100), lambda d: d.orderBy(F.xxhash64("row")).limit(100).collect()
+    assert 300 < few.count() < 500 and least(few) == least(rows)
+    assert topk_search.least_hashes(rows.limit(399), 100).count() == 399
