@@ -88,7 +88,7 @@ class Engine:
     def commit(self, additions: DataFrame | None = None, removals: DataFrame | None = None, timestamp: str | None = None, project: bool = True) -> str:
         """Commit a diff onto the heads; its hash (of a diff of more than LINKS links: the least of its commits'). Publishes
         and projects it if the settings let it. The diff itself is emitted, when the links are up to date."""
-        none = self.spark.createDataFrame([], schema.LINK)
+        none = schema.none(self.spark, schema.LINK)
         added, removed = ((none if x is None else x).select(*schema.LINK.names) for x in (additions, removals))
         commits = self.store.commits()
         ord0 = commits.agg(F.coalesce(F.max("ord"), F.lit(-1))).collect()[0][0]
@@ -115,8 +115,7 @@ class Engine:
         if advance(self.store, own, self.hash) is None and not diff.isEmpty() and name:
             own(diff)
         if self.shared and self.settings.publishes:
-            turtle = rdf.commit_turtle(new, self.hash).withColumnRenamed("doc", "name")
-            pod.publish(turtle, f"{self.shared}/diffs")
+            pod.publish_commits(new, f"{self.shared}/diffs", self.hash)
             if project:
                 self.project_diff(added, ord0 + 1)
         return name
@@ -139,8 +138,9 @@ class Engine:
         """Take the commits that others have published; the change, or None."""
         if not self.shared or not self.settings.subscribes:
             return None
-        found = pod.resources(self.spark, f"{self.shared}/diffs", "diff")
-        change = sync_batch(self.store, found, self.emit, self.hash, verify)
+        known = self.store.commit_hashes().select(F.col("commit_hash").alias("name"))
+        found, some_known = pod.unseen(self.spark, f"{self.shared}/diffs", "diff", known)
+        change = sync_batch(self.store, found, self.emit, self.hash, verify, some_known)
         if change is not None and links.touches_shapes(change):
             self._profiles = None
         return change

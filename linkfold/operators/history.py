@@ -85,15 +85,14 @@ def touched_folds(known: DataFrame, new: DataFrame, hash: H.Hash = H.sha256) ->
 
 def both_folds(known: DataFrame, new: DataFrame, hash: H.Hash = H.sha256) -> DataFrame:
     """(link_hash, before, after) of each hash that the new commits touch: its rows in the folds without them and with them,
-    null where a fold does not have it. touched_folds() in one aggregate."""
+    null where a fold does not have it. touched_folds() in one aggregate; rows are dealt out once, whole, and not
+    aggregated before, as most hashes have one row."""
     add = lambda df, late: additions(df, hash).select("link_hash", F.lit(late).alias("late"), F.struct("ord", "commit_hash", "pos").alias("at"), F.struct(*schema.LINK.names).alias("row"))
     gone = lambda df, late: removals(df).select("link_hash", F.lit(late).alias("late"), F.lit(None).alias("at"), F.lit(None).alias("row"))
-    late = add(new, True).unionByName(gone(new, True))
-    early = add(known, False).unionByName(gone(known, False)).join(late.select("link_hash"), "link_hash", "left_semi")
+    rows = add(known, False).unionByName(gone(known, False)).unionByName(add(new, True)).unionByName(gone(new, True))
     added, last = F.col("row").isNotNull(), lambda own: F.max_by(F.when(own, F.col("row")), F.when(own, F.col("at")))
-    by = early.unionByName(late).groupBy("link_hash")
-    folds = by.agg(last(added & ~F.col("late")).alias("before"), last(added).alias("after"), F.max(~added & ~F.col("late")).alias("_gone"), F.max(~added).alias("_ever"))
-    return folds.select("link_hash", F.when(~F.col("_gone"), F.col("before")).alias("before"), F.when(~F.col("_ever"), F.col("after")).alias("after"))
+    folds = rows.repartition("link_hash").groupBy("link_hash").agg(F.max("late").alias("_new"), last(added & ~F.col("late")).alias("before"), last(added).alias("after"), F.max(~added & ~F.col("late")).alias("_gone"), F.max(~added).alias("_ever"))
+    return folds.filter("_new").select("link_hash", F.when(~F.col("_gone"), F.col("before")).alias("before"), F.when(~F.col("_ever"), F.col("after")).alias("after"))
 
 
 def one_sided(folds: DataFrame) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import itertools
+import os
+import re
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
@@ -139,21 +141,98 @@ def commit_turtle(commits: DataFrame, hash: H.Hash = H.sha256) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts, size, names = [], 0, batch.column("commit_hash").to_pylist()
-            lists = [_lists(batch.column(c)) for c in ("previous", "hashes", "additions")]
-            gone = batch.column("removals")
-            lists += [_cut_up(gone, gone.flatten().flatten()[0].to_pylist()), _cut_up(gone, _links(gone.flatten().flatten()[1]))]
-            start = 0
-            for i, row in enumerate(zip(batch.column("author").to_pylist(), batch.column("timestamp").to_pylist(), *lists, strict=True)):
-                texts.append(_commit_text(*row))
-                size += len(texts[-1])
-                if size > TEXT or i == len(names) - 1:
-                    yield pa.RecordBatch.from_arrays([pa.array(names[start : i + 1], pa.string()), pa.array(texts, pa.string())], names=["doc", "turtle"])
-                    texts, size, start = [], 0, i + 1
+            for part in _parts(batch):
+                odd = _odd(part)
+                plain = part.filter(pa.compute.invert(odd))
+                for names, texts in [(plain.column("commit_hash").cast(pa.string()), _plain_texts(plain).cast(pa.string())), *_texts(part.filter(odd))]:
+                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.string())], names=["doc", "turtle"])
 
     return rows.mapInArrow(run, "doc string, turtle string")
 
 
+#: Links of the commits whose texts are made together.
+TOGETHER = 1 << 13
+
+
+def _parts(batch: pa.RecordBatch):
+    """The batch in slices of TOGETHER links at most, or of one row."""
+    n = [sum(x) for x in zip(*(pa.compute.list_value_length(batch.column(c)).to_pylist() for c in ("previous", "hashes", "removals")), strict=True)]
+    start = size = 0
+    for i, more in enumerate(n):
+        if size and size + more > TOGETHER:
+            yield batch.slice(start, i - start)
+            start, size = i, 0
+        size += more
+    if n:
+        yield batch.slice(start)
+
+
+def _texts(batch: pa.RecordBatch):
+    """Names and texts of commits, row by row."""
+    texts, size, names = [], 0, batch.column("commit_hash").to_pylist()
+    lists = [_lists(batch.column(c)) for c in ("previous", "hashes", "additions")]
+    gone = batch.column("removals")
+    lists += [_cut_up(gone, gone.flatten().flatten()[0].to_pylist()), _cut_up(gone, _links(gone.flatten().flatten()[1]))]
+    start = 0
+    for i, row in enumerate(zip(batch.column("author").to_pylist(), batch.column("timestamp").to_pylist(), *lists, strict=True)):
+        texts.append(_commit_text(*row))
+        size += len(texts[-1])
+        if size > TEXT or i == len(names) - 1:
+            yield names[start : i + 1], texts
+            texts, size, start = [], 0, i + 1
+
+
+def _odd(batch: pa.RecordBatch) -> pa.Array:
+    """Whether a commit has a node without a name, or one that stands twice."""
+    odd = set()
+    for lists, names in ((batch.column("hashes"), batch.column("hashes").flatten()), (batch.column("removals"), batch.column("removals").flatten().flatten()[0])):
+        nodes = pa.table({"row": pa.compute.list_parent_indices(lists), "name": names}).group_by(["row", "name"]).aggregate([([], "count_all")])
+        strange = pa.compute.or_(pa.compute.greater(nodes["count_all"], 1), pa.compute.is_null(nodes["name"]))
+        odd.update(nodes["row"].filter(strange).to_pylist())
+    return pa.array([i in odd for i in range(len(batch))], pa.bool_())
+
+
+def _plain_texts(batch: pa.RecordBatch) -> pa.Array:
+    """_commit_text() of all rows at once, by columns; none of them may be odd."""
+    pc, w = pa.compute, _WRITTEN
+    join = lambda *x: pc.binary_join_element_wise(*x, "")
+
+    def literal(x, datatype=""):
+        x = pc.replace_substring(pc.replace_substring(x, "\\", "\\\\"), '"', '\\"')
+        return pc.fill_null(join(' "', x, '"' + datatype), "")
+
+    def term(x):
+        x = pc.fill_null(x, "")
+        out = join("<", x, ">")
+        if pc.any(pc.starts_with(x, _COMMON)).as_py():
+            for prefix, ns in reversed(C.PREFIXES.items()):
+                out = pc.if_else(pc.starts_with(x, ns), join(prefix + ":", pc.utf8_slice_codeunits(x, len(ns))), out)
+        return out
+
+    def own(x, predicate):
+        return pc.if_else(pc.equal(pc.fill_null(x, ""), ""), "", join(f" ;\n    {w[predicate]}", literal(x)))
+
+    def listed(lists, values):
+        """The values of each row behind one another."""
+        ends = pc.list_value_length(lists).to_numpy(zero_copy_only=False).cumsum()
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, *ends.tolist()], pa.int32()), values), "")
+
+    removals = batch.column("removals").flatten().flatten()
+    sides = ((C.LINK, C.ADDITION, C.LINK_HASH, "#add-", batch.column("hashes"), batch.column("hashes").flatten(), batch.column("additions").flatten()), (C.TOMBSTONE, C.REMOVAL, C.REMOVES_HASH, "#rm-", batch.column("removals"), *removals))
+    text = [_HEAD, f"<> a {w[C.COMMIT]} ;\n    {w[C.AUTHOR]}", literal(batch.column("author")), f" ;\n    {w[C.TIMESTAMP]}", literal(batch.column("timestamp"), _DATETIME)]
+    text.append(listed(batch.column("previous"), join(f" ;\n    {w[C.PREVIOUS]}", literal(batch.column("previous").flatten()))))
+    blocks = []
+    for kind, named, by, prefix, lists, names, links in sides:
+        source, predicate, target, author, timestamp, proof, _ = links.flatten()
+        signature, key = proof.flatten()
+        text.append(listed(lists, join(f" ;\n    {w[named]} <{prefix}", names, ">")))
+        start = (f"\n\n<{prefix}", names, f"> a {w[kind]} ;\n    {w[by]}", literal(names))
+        parts = [x for p, c in ((C.RDF_SUBJECT, source), (C.RDF_PREDICATE, predicate), (C.RDF_OBJECT, target)) for x in (f" ;\n    {w[p]} ", term(c))]
+        parts += [f" ;\n    {w[C.AUTHOR]}", literal(author), f" ;\n    {w[C.TIMESTAMP]}", literal(timestamp, _DATETIME), own(signature, C.SIGNATURE), own(key, C.KEY), " ."]
+        blocks.append(listed(lists, join(*start, *parts)))
+    return join(*text, " .", *blocks)
+
+
 def _links(found: pa.StructArray) -> list[tuple]:
     """(source, predicate, target, author, timestamp, signature, key) of each link."""
     *parts, proof, _ = found.flatten()
@@ -189,6 +268,7 @@ def _literal_text(value: str | None, datatype: str = "") -> str:
 
 _HEAD = prefix_block() + "\n\n"
 _NAMESPACES = tuple(C.PREFIXES.values())
+_COMMON = os.path.commonprefix(_NAMESPACES)
 _WRITTEN = {p: _term_text(p) for p in (C.AUTHOR, C.TIMESTAMP, C.PREVIOUS, C.ADDITION, C.REMOVAL, C.LINK_HASH, C.REMOVES_HASH, C.RDF_SUBJECT, C.RDF_PREDICATE, C.RDF_OBJECT, C.SIGNATURE, C.KEY, C.LINK, C.TOMBSTONE, C.COMMIT)}
 _DATETIME = "^^" + _term_text(C.XSD_DATETIME)
 
@@ -262,11 +342,10 @@ def commits_from_turtle(found: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             rows, size = [], 0
-            for name, doc, text in zip(*(batch.column(c) for c in ("name", "doc", "turtle")), strict=True):
-                doc, text = doc.as_py(), text.as_py()
-                row = None if doc is None or not text else _commit(read_written(text, doc) or [t[:3] for t in parse(text, doc)], doc)
+            for name, doc, text in zip(*(batch.column(c).to_numpy(zero_copy_only=False) for c in ("name", "doc", "turtle")), strict=True):
+                row = None if doc is None or not text else _plain_commit(text) or _commit(read_written(text, doc) or [t[:3] for t in parse(text, doc)], doc)
                 if row:
-                    rows.append((name.as_py(), *row))
+                    rows.append((name, *row))
                     size += len(text)
                 if size > TEXT:
                     yield _commit_batch(rows)
@@ -277,6 +356,46 @@ def commits_from_turtle(found: DataFrame) -> DataFrame:
     return found.select("name", "doc", "turtle").mapInArrow(run, T.StructType(fields))
 
 
+def _plain(kind: str, by: str, prefix: str) -> re.Pattern:
+    """A node as _commit_text() writes it: its name, its hash, and the parts of its link."""
+    iri, text = r"<((?!#|\./|\.\./)[^>]+)>", r'"([^"\\]*)"'
+    pairs = [f"a {_WRITTEN[kind]}", f"{_WRITTEN[by]} {text}", *(f"{_WRITTEN[p]} {iri}" for p in (C.RDF_SUBJECT, C.RDF_PREDICATE, C.RDF_OBJECT)), f"{_WRITTEN[C.AUTHOR]} {text}", f"{_WRITTEN[C.TIMESTAMP]} {text}{re.escape(_DATETIME)}"]
+    own = "".join(rf"(?: ;\n    {_WRITTEN[p]} {text})?" for p in (C.SIGNATURE, C.KEY))
+    return re.compile(rf"\n\n<{prefix}([^<>]+)> " + r" ;\n    ".join(pairs) + own + r" \.")
+
+
+_PLAIN_ADDED, _PLAIN_GONE = _plain(C.LINK, C.LINK_HASH, "#add-"), _plain(C.TOMBSTONE, C.REMOVES_HASH, "#rm-")
+_ADDITION, _REMOVAL = f" ;\n    {_WRITTEN[C.ADDITION]} <#add-", f" ;\n    {_WRITTEN[C.REMOVAL]} <#rm-"
+_PLAIN_ROOT = re.compile(
+    rf"<> a {_WRITTEN[C.COMMIT]} ;\n    {_WRITTEN[C.AUTHOR]} " + r'"([^"\\]*)"' + rf" ;\n    {_WRITTEN[C.TIMESTAMP]} " + r'"([^"\\]*)"' + re.escape(_DATETIME)
+    + rf"((?: ;\n    {_WRITTEN[C.PREVIOUS]} " + r'"[^"\\]*")*)' + rf"((?:{_ADDITION}[^<>]+>)*)((?:{_REMOVAL}[^<>]+>)*) \."
+)
+
+
+def _plain_commit(text: str) -> tuple | None:
+    """What _commit() finds in a text in the very form that _commit_text() gives to commits without odd characters or
+    repeated nodes, one match for each link; None for any other text."""
+    if not text.startswith(_HEAD) or not (root := _PLAIN_ROOT.match(text, len(_HEAD))):
+        return None
+    author, timestamp, previous, *named = root.groups()
+    at, found = root.end(), []
+    for nodes, mark, pattern in ((named[0], _ADDITION, _PLAIN_ADDED), (named[1], _REMOVAL, _PLAIN_GONE)):
+        names = [x[:-1] for x in nodes.split(mark)[1:]]
+        if len(set(names)) < len(names):
+            return None
+        links = []
+        for name in names:
+            if not (node := pattern.match(text, at)):
+                return None
+            its, by, *link, signature, key = node.groups()
+            if its != name or not by:
+                return None
+            links.append((*link, signature or "", key or "") if pattern is _PLAIN_ADDED else (by, *link, signature or "", key or ""))
+            at = node.end()
+        found.append(links)
+    return (author, timestamp, previous.split('"')[1::2], *found) if at == len(text) else None
+
+
 def _commit(triples: list[tuple[str, str, str]], doc: str) -> tuple | None:
     """Author, timestamp, parents, added links and tombstones of the commit that triples hold, by the rules of
     commits_from_triples()."""

@@ -44,7 +44,7 @@ def _early_and_late(spark, d) -> tuple[DataFrame, DataFrame]:
 
 
 def _publish(commits: DataFrame, shared: str) -> None:
-    pod.publish(rdf.commit_turtle(commits).withColumnRenamed("doc", "name"), f"{shared}/diffs")
+    pod.publish_commits(commits, f"{shared}/diffs")
 
 
 # store

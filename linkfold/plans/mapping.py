@@ -35,18 +35,25 @@ def chat_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("l.source", "l.predicate", "l.target", "author", "timestamp", (F.col("o") + F.col("l.k")).alias("ord"))
 
 
-def stamp(ts: str = "ts") -> F.Column:
+def stamp(ts: str | F.Column = "ts") -> F.Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
+def link_of(event: F.Column) -> list[F.Column]:
+    """The link's parts of an event (ts, event_id, event_type) of the user in user_id."""
+    return [
+        _text("user://", F.col("user_id")).alias("source"),
+        _text("event://", event["event_type"]).alias("predicate"),
+        _text("event-id://", event["event_id"]).alias("target"),
+        _text("did:user:", F.col("user_id")).alias("author"),
+        stamp(event["ts"]).alias("timestamp"),
+    ]
+
+
 def event_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _table(spark, sf_dir, "events")
     return e.select(
-        _text("user://", F.col("user_id")).alias("source"),
-        _text("event://", F.col("event_type")).alias("predicate"),
-        _text("event-id://", F.col("event_id")).alias("target"),
-        _text("did:user:", F.col("user_id")).alias("author"),
-        stamp().alias("timestamp"),
+        *link_of(F.struct("ts", "event_id", "event_type")),
         "event_id",
         "user_id",
         "ts",

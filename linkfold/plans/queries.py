@@ -428,13 +428,17 @@ def _day_commits(spark: SparkSession, d: str) -> DataFrame:
     """Commits of the events, in full: one for each user and day."""
     link = F.struct(*LINK, F.struct(F.lit("s").alias("signature"), F.lit("k").alias("key")).alias("proof"), F.lit(None).cast("string").alias("status"))
     day = F.date_format("ts", "yyyy-MM-dd").alias("day")
-    # one window by user: an error finds the link that it removes with its hash, so no join looks it up
-    e = M.event_links(spark, d).withColumn("own", F.when(F.col("event_type") != "error", F.struct(H.link_hash().alias("link_hash"), link.alias("link"))))
-    e = e.select("user_id", day, "event_id", "event_type", "own", F.when(F.col("event_type") == "error", F.last("own", ignorenulls=True).over(M.before())).alias("gone"))
-    e = e.filter("own is not null or gone is not null")
-    added = F.when(F.col("own").isNotNull(), F.struct("event_id", F.col("own.link").alias("link")))
-    steps = e.groupBy("user_id", "day").agg(F.sort_array(F.collect_list(added)).alias("a"), F.sort_array(F.collect_list("gone")).alias("g"), F.sort_array(F.collect_list("own.link_hash")).alias("add_hashes"))
-    steps = steps.withColumns({"remove_hashes": F.col("g.link_hash"), "author": F.concat(F.lit("did:user:"), "user_id"), "timestamp": F.concat("day", F.lit("T00:00:00.000Z"))})
+    # one window by user: an error finds the event whose link it removes, so no join looks it up; rows are dealt out and
+    # sorted before their links are made, to as many tasks as hold the links
+    e = M._table(spark, d, "events").select("user_id", "ts", "event_id", "event_type").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "user_id")
+    own = F.struct("ts", "event_id", "event_type")
+    last = F.last(F.when(F.col("event_type") != "error", own), ignorenulls=True).over(M.before())
+    e = e.select("user_id", day, "event_id", F.col("event_type") == "error", F.when(F.col("event_type") == "error", last).otherwise(own).alias("x")).toDF("user_id", "day", "event_id", "error", "x")
+    e = e.filter("error is not null and x is not null").select("user_id", "day", "event_id", "error", *M.link_of(F.col("x")))
+    e = e.select("user_id", "day", "event_id", "error", H.link_hash().alias("link_hash"), link.alias("link"))
+    added, gone = F.when(~F.col("error"), F.struct("event_id", "link", "link_hash")), F.when(F.col("error"), F.struct("link_hash", "link"))
+    steps = e.groupBy("user_id", "day").agg(F.sort_array(F.collect_list(added)).alias("a"), F.sort_array(F.collect_list(gone)).alias("g"))
+    steps = steps.withColumns({"add_hashes": F.sort_array("a.link_hash"), "remove_hashes": F.col("g.link_hash"), "author": F.concat(F.lit("did:user:"), "user_id"), "timestamp": F.concat("day", F.lit("T00:00:00.000Z"))})
     rows = history.chain_hashes(steps, "user_id", "day", carried=("a", "g"))
     from ..schema import COMMITS as S
 

@@ -1,5 +1,7 @@
 """Schemas of the engine's tables."""
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _KINDS = {"string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
@@ -10,6 +12,12 @@ def columns(**kinds) -> T.StructType:
     return T.StructType([T.StructField(name, _KINDS[kind] if isinstance(kind, str) else kind) for name, kind in kinds.items()])
 
 
+def none(spark: SparkSession, kind: T.StructType | str) -> DataFrame:
+    """No rows. The optimizer knows that there are none, and leaves out joins and unions with them."""
+    kind = T.StructType.fromDDL(kind) if isinstance(kind, str) else kind
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in kind]).filter(F.lit(False))
+
+
 PROOF = columns(signature="string", key="string")
 LINK = columns(source="string", predicate="string", target="string", author="string", timestamp="string", proof=PROOF, status="string")
 LINKS = columns(link_hash="string", **{f.name: f.dataType for f in LINK})

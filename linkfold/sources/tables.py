@@ -24,6 +24,14 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{found.rstrip('/')}/linkfold-{spark.sparkContext.applicationId}"
 
 
+def clashes(new: DataFrame, known: DataFrame) -> tuple[int, bool]:
+    """How many rows new (of one column) has, and whether a value of it stands there twice or in known, or is null."""
+    value = lambda df, n: df.toDF("value").select("value", F.lit(n).alias("n"))
+    by = value(new, 1).unionByName(value(known, 0)).groupBy("value").agg(F.sum("n").alias("n"), F.min("n").alias("least")).filter("n > 0")
+    one = by.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max((F.col("n") > 1) | (F.col("least") == 0) | F.col("value").isNull()), F.lit(False))).collect()[0]
+    return one[0], one[1]
+
+
 class Store:
     """Tables commits, links (the folded view) and peers.
 
@@ -37,7 +45,7 @@ class Store:
 
     def _read(self, name: str, kind: T.StructType) -> DataFrame:
         if not self._exists(name):
-            return self.spark.createDataFrame([], kind)
+            return schema.none(self.spark, kind)
         return self.spark.read.schema(kind).parquet(f"{self.root}/{name}")
 
     def _exists(self, name: str) -> bool:
@@ -54,11 +62,12 @@ class Store:
         told = self._read("told", T.StructType([T.StructField("batch", T.StringType())]))
         batches = [r.batch for r in every.select("batch").distinct().join(told, "batch", "left_anti").collect()]
         new = F.col("batch").isin(*batches) if batches else F.lit(False)
+        if not self._exists("told"):  # all are new
+            return schema.none(self.spark, schema.COMMITS), every.select(*schema.COMMITS.names), batches
         return every.filter(~new).select(*schema.COMMITS.names), every.filter(new).select(*schema.COMMITS.names), batches
 
     def tell(self, batches: list[str]) -> None:
-        rows = [(b,) for b in batches]
-        self.spark.createDataFrame(rows, "batch string").coalesce(1).write.mode("append").parquet(f"{self.root}/told")
+        self.spark.range(1).select(F.explode(F.array(*map(F.lit, batches))).alias("batch")).coalesce(1).write.mode("append").parquet(f"{self.root}/told")
 
     def commit_hashes(self) -> DataFrame:
         return self.commits().select("commit_hash")
@@ -70,16 +79,30 @@ class Store:
         return not self.get_commit(commit_hash).isEmpty()
 
     def append_commits(self, new: DataFrame) -> DataFrame:
-        """Append those of new that are not stored; they are what is returned. Nothing is left behind if there are none."""
-        fresh = new.dropDuplicates(["commit_hash"]).join(self.commit_hashes(), "commit_hash", "left_anti").select(*schema.COMMITS.names)
-        path = f"{self.root}/commits/batch={uuid.uuid4().hex}"
-        fresh.write.parquet(path)
-        out = self.spark.read.schema(schema.COMMITS).parquet(path)
-        if out.isEmpty():
-            p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
-            return self.spark.createDataFrame([], schema.COMMITS)
-        return out
+        """Append those of new that are not stored; they are what is returned. Nothing is left behind if there are none.
+
+        Rows are written beside the table, and their hashes alone are compared. If all are new and stand once, as when a sync
+        has left out what is known, the files become a batch as they are; else they are written again without the others.
+        """
+        batch = uuid.uuid4().hex
+        path, at = f"{self.root}/commits/batch={batch}", f"{self.root}/arrived/{batch}"
+        new.select(*schema.COMMITS.names).write.parquet(at)
+        arrived = self.spark.read.schema(schema.COMMITS).parquet(at)
+        rows, again = clashes(arrived.select("commit_hash"), self.commit_hashes())
+        if again:
+            arrived.dropDuplicates(["commit_hash"]).join(self.commit_hashes(), "commit_hash", "left_anti").select(*schema.COMMITS.names).write.parquet(path)
+        jpath = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs = jpath(at).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if rows and not again:
+            fs.mkdirs(jpath(path).getParent())
+            if not fs.rename(jpath(at), jpath(path)):
+                raise OSError(f"{at} could not be moved to {path}")
+        else:
+            fs.delete(jpath(at), True)
+        if not rows or again and self.spark.read.schema(schema.COMMITS).parquet(path).isEmpty():
+            fs.delete(jpath(path), True)
+            return schema.none(self.spark, schema.COMMITS)
+        return self.spark.read.schema(schema.COMMITS).parquet(path)
 
     def links(self, by: str = "source") -> DataFrame:
         """The links; `by` says which copy of them is read: that in ranges of source or of target."""
@@ -96,7 +119,7 @@ class Store:
         for by, order in (("source", ["source", "predicate", "target"]), ("target", ["target", "predicate", "source"])):
             rows_of.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{self.root}/links/{version}/by-{by}")
             rows_of = self.spark.read.schema(schema.LINKS).parquet(f"{self.root}/links/{version}/by-{by}")
-        self.spark.createDataFrame([(version, at)], "version string, at long").coalesce(1).write.mode("append").parquet(f"{self.root}/links-version")
+        self.spark.range(1).select(F.lit(version).alias("version"), F.lit(at).cast("long").alias("at")).coalesce(1).write.mode("append").parquet(f"{self.root}/links-version")
         return self.links()
 
     def put_values(self, rows: DataFrame) -> None:

@@ -26,14 +26,13 @@ def advance(store: Store, emit: Emit, hash: H.Hash = H.sha256) -> DataFrame | No
     old, new, batches = store.pending()
     if not batches:
         return None
-    path = f"{store.root}/changes/{'-'.join(sorted(batches))[:64]}"
+    path = f"{store.root}/changes/{'-'.join(sorted(batches))[:64]}-folds"
     # the folds of each touched hash, made once for the links and for the change
-    history.both_folds(old, new, hash).write.mode("overwrite").parquet(f"{path}-folds")
-    folds = store.spark.read.parquet(f"{path}-folds")
+    history.both_folds(old, new, hash).write.mode("overwrite").parquet(path)
+    folds = store.spark.read.parquet(path)
     after = folds.filter("after is not null").select("link_hash", "after.*")
     store.replace_links(store.links().join(folds.select("link_hash"), "link_hash", "left_anti").unionByName(after, allowMissingColumns=True))
-    history.one_sided(folds).write.mode("overwrite").parquet(path)
-    change = store.spark.read.parquet(path)
+    change = history.one_sided(folds)
     some = not change.isEmpty()
     if some:
         emit(change)
@@ -41,15 +40,15 @@ def advance(store: Store, emit: Emit, hash: H.Hash = H.sha256) -> DataFrame | No
     return change if some else None
 
 
-def sync_batch(store: Store, found: DataFrame, emit: Emit, hash: H.Hash = H.sha256, verify: bool = False) -> DataFrame | None:
+def sync_batch(store: Store, found: DataFrame, emit: Emit, hash: H.Hash = H.sha256, verify: bool = False, some_known: bool = True) -> DataFrame | None:
     """Take the commits of resources(name, doc, turtle) that the store does not have, and emit the change if there is any.
 
     Commits whose ancestors are missing are taken too, as the fold needs no order. With verify, a commit whose content does
-    not have the hash it is named by is left out.
+    not have the hash it is named by is left out. some_known tells whether found may name commits that the store has.
     """
     known = store.commits()
     # a commit is named by its hash, so what is known is never read
-    commits = read_commits(found.join(known.select(F.col("commit_hash").alias("name")), "name", "left_anti"))
+    commits = read_commits(found.join(known.select(F.col("commit_hash").alias("name")), "name", "left_anti") if some_known else found)
     if verify:
         of = lambda x: H.link_hash(x["source"], x["predicate"], x["target"], x["author"], x["timestamp"], hash)
         commits = commits.filter(F.col("commit_hash") == H.commit_hash(F.transform("additions", of), F.transform("removals", lambda t: t["link_hash"]), "previous", hash=hash))
