@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
 import functools
 import tempfile
 import uuid
@@ -10,6 +9,8 @@ import uuid
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
+from ..workers import trimmed  # noqa: F401  (common.trimmed)
+
 #: Bytes that part words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 #: The same set as a regular expression for Spark SQL and DuckDB.
@@ -79,27 +80,6 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def trimmed(run):
-    """run(batches) that gives the memory it has used back to the system at its end: Python workers are kept for later tasks,
-    and what each of them holds on to counts for its executor."""
-
-    def whole(batches):
-        yield from run(batches)
-        _release()
-
-    return whole
-
-
-def _release() -> None:
-    import ctypes
-
-    import pyarrow as pa
-
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such function
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 # --- hashes -----------------------------------------------------------------
 
 

@@ -16,6 +16,7 @@ from .. import constants as C
 from ..functions import hashing as H
 from ..functions.uris import compact_uri, prefix_block
 from ..sources.turtle import parse, parse_turtle, read_written
+from ..workers import trimmed
 
 
 def _col(c) -> Column:
@@ -147,7 +148,7 @@ def commit_turtle(commits: DataFrame, hash: H.Hash = H.sha256) -> DataFrame:
                 for names, texts in [(plain.column("commit_hash").cast(pa.string()), _plain_texts(plain).cast(pa.string())), *_texts(part.filter(odd))]:
                     yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.string())], names=["doc", "turtle"])
 
-    return rows.mapInArrow(run, "doc string, turtle string")
+    return rows.mapInArrow(trimmed(run), "doc string, turtle string")
 
 
 #: Links of the commits whose texts are made together.
@@ -353,7 +354,7 @@ def commits_from_turtle(found: DataFrame) -> DataFrame:
             if rows:
                 yield _commit_batch(rows)
 
-    return found.select("name", "doc", "turtle").mapInArrow(run, T.StructType(fields))
+    return found.select("name", "doc", "turtle").mapInArrow(trimmed(run), T.StructType(fields))
 
 
 def _plain(kind: str, by: str, prefix: str) -> re.Pattern:
